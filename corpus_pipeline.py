@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from voxloom.llm.common import materialize, table
+from voxloom.llm.decontamination import without_contaminated
 from voxloom.llm.mixing import mixed_documents
+from voxloom.llm.ngram_join import one_of_each
+from voxloom.llm.quality import without_rejected
 from voxloom.llm.sharding import with_shards
 
 
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte-level network doesn't reject."""
+    return without_rejected(docs, table(spark, sf_dir, "labels"))
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies."""
+    return one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no more of the benchmark than the limit."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: documents come as often as the mix takes them."""
     return mixed_documents(docs)
@@ -19,7 +37,13 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return with_shards(docs)
 
 
-STAGES = [("mix_sources", mix_sources), ("shard", shard)]
+STAGES = [
+    ("accept_quality", accept_quality),
+    ("one_of_near_copies", one_of_near_copies),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
+    ("shard", shard),
+]
 
 #: A trained network decides in the first stage, which SQL can't express.
 ORACLE_SQL = None

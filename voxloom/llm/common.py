@@ -47,3 +47,75 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def text_bytes(name: str = "text"):
     """UTF-8 bytes of a text column; null counts as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))
+
+
+def slices(batch, name: str = "text", limit: int = 4 << 20):
+    """(first row, UTF-8 texts) of a record batch, in runs of about `limit` bytes; a longer text is a run of its own."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    column = batch.column(batch.schema.get_field_index(name))
+    if not pa.types.is_binary(column.type):
+        column = column.cast(pa.binary())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield at, [x or b"" for x in column.slice(at, to - at).to_pylist()]
+        at = to
+
+
+def words_of(text: bytes) -> list[bytes]:
+    return text.translate(WORD_BYTES).split()
+
+
+#: A key of more than this share of all rows is hot; there are at most 1 / share of them.
+HOT_SHARE = 0.001
+
+
+def lookup(rows: DataFrame, key: str, found: DataFrame, weight: str) -> DataFrame:
+    """rows with `_found`: the struct of found's other columns for the row's key, or null.
+
+    found has one row for each key and how many of rows hold it (`weight`). Keys
+    of more than HOT_SHARE of the total go by broadcast, 1 / HOT_SHARE of them
+    at most; all others by shuffle, where rows of hot keys are spread at random.
+    """
+    fields = F.struct(*[c for c in found.columns if c not in (key, weight)])
+    total = found.agg(F.sum(weight).alias("_total"))
+    split = found.crossJoin(F.broadcast(total)).select(
+        F.col(key).alias("_key"), fields.alias("_found"), (F.col(weight) > F.col("_total") * HOT_SHARE).alias("_is_hot")
+    )
+    hot = split.where("_is_hot").select(F.col("_key").alias("_hot_key"), F.col("_found").alias("_hot"), F.lit(True).alias("_is_hot"))
+    cold = split.where("not _is_hot").select("_key", F.col("_found").alias("_cold"), F.lit(0).cast("long").alias("_salt"))
+    names = rows.columns
+    seen = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
+        "_own_salt", F.when(F.col("_is_hot"), 1 + F.pmod(F.xxhash64(*names), F.lit(1 << 40))).otherwise(F.lit(0).cast("long"))
+    )
+    both = seen.join(cold, (F.col(key) == F.col("_key")) & (F.col("_own_salt") == F.col("_salt")), "left")
+    return both.select(*names, F.coalesce("_hot", "_cold").alias("_found"))
+
+
+def groups(batches, key: str):
+    """Tables of consecutive rows with one key, from batches that are sorted by it."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = batch.column(batch.schema.get_field_index(key))
+        codes = pc.dictionary_encode(column).indices.to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            now = column[a].as_py()
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)

@@ -7,28 +7,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontamination import contamination
 from .mixing import mix
+from .ngram_join import classes
 from .oracles import ORACLE_SQL
+from .quality import quality
 from .sharding import assign
 from .url_reputation import judge
 
 
+def op1_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(table(spark, sf_dir, "documents"))
 
 
+def op5_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_prefix_decontamination": op1_prefix_decontamination,
         "op2_virtual_slots": op2_virtual_slots,
+        "op5_byte_network": op5_byte_network,
         "op6_host_reputation": op6_host_reputation,
+        "op8_chosen_path_join": op8_chosen_path_join,
         "op9_source_mix": op9_source_mix,
     }
 
