@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lookup, materialize
+
 #: (verdict, host and path); the longest that fits a url wins.
 RULES = (
     ("allow", "com/"),
@@ -26,9 +28,6 @@ LIMIT = 0.5
 Z = 1.645
 #: Least and largest intra-class correlation; the prior's strength is 1 / it - 1.
 LEAST_RHO, MOST_RHO = 0.002, 0.5
-#: A host with more than this share of all pages is hot: there are at most 1 / share of them.
-HOT_SHARE = 0.001
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -89,8 +88,8 @@ def reputation(hosts: DataFrame, limit: float = LIMIT, z: float = Z) -> DataFram
     named = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
     domains = named.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = _shrunk(suffixes, None, "suffix", "")
-    domains = _shrunk(domains, suffixes, "domain", "suffix").select("domain", "mean")
+    suffixes = materialize(_shrunk(suffixes, None, "suffix", ""), "suffixes")
+    domains = materialize(_shrunk(domains, suffixes, "domain", "suffix").select("domain", "mean"), "domains")
     found = _shrunk(named, domains, "host", "domain")
     size = F.col("n") + F.col("k") + 1
     lower = F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / size)
@@ -102,9 +101,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT
 
     A page's outcome is bad if the label of its id says quality 0 or toxic 1;
     rows without an id or without either label say nothing, repeated labels
-    count as often as they stand. A null url has an empty host and path. Hosts
-    that hold more than HOT_SHARE of all pages, 1 / HOT_SHARE of them at most,
-    are joined by broadcast, all others by shuffle, so no task holds a hot host.
+    count as often as they stand. A null url has an empty host and path. Hot
+    hosts are looked up by broadcast, all others by shuffle.
     """
     url = F.col("url").cast("string")
     seen = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
@@ -123,18 +121,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT
         .groupBy("host")
         .agg(F.count("*").alias("n_pages"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     )
-    known = reputation(hosts, limit, z)
-    n_pages = hosts.agg(F.sum("n_pages").alias("all_pages"))
-    known = known.crossJoin(F.broadcast(n_pages)).withColumn("hot", F.col("n_pages") > F.col("all_pages") * HOT_SHARE)
-    fields = F.struct("mean", "lower", "blocked")
-    hot = known.where("hot").select("host", fields.alias("hot"))
-    cold = known.where("not hot").select(F.col("host").alias("cold_host"), fields.alias("cold"))
-    rest = seen.join(F.broadcast(hot), "host", "left").withColumn(
-        "own", F.when(F.col("hot").isNull(), F.col("host")).otherwise(F.concat(F.lit("\u0000"), F.col("page_id").cast("string")))
-    )
-    told_by = F.coalesce("hot", "cold")
+    known = materialize(reputation(materialize(hosts, "hosts"), limit, z), "reputation")
+    told_by = F.col("_found")
     verdict, rule = rule_of(F.col("host"), F.col("path"), rules)
-    return rest.join(cold, F.col("own") == F.col("cold_host"), "left").select(
+    return lookup(seen, "host", known, "n_pages").select(
         "page_id",
         "host",
         "path",
