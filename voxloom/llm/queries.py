@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import contamination
+from .embedding_join import near_vectors
 from .mixing import mix
 from .ngram_join import classes
 from .oracles import ORACLE_SQL
@@ -41,6 +42,10 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_prefix_decontamination": op1_prefix_decontamination,
@@ -49,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_host_reputation": op6_host_reputation,
         "op8_chosen_path_join": op8_chosen_path_join,
         "op9_source_mix": op9_source_mix,
+        "op10_multi_index": op10_multi_index,
     }
 
 
