@@ -14,6 +14,7 @@ from .ngram_join import classes
 from .oracles import ORACLE_SQL
 from .quality import quality
 from .sharding import assign
+from .substring_dedup import without_repeats
 from .url_reputation import judge
 
 
@@ -34,6 +35,10 @@ def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_virtual_slots": op2_virtual_slots,
         "op5_byte_network": op5_byte_network,
         "op6_host_reputation": op6_host_reputation,
+        "op7_previous_factors": op7_previous_factors,
         "op8_chosen_path_join": op8_chosen_path_join,
         "op9_source_mix": op9_source_mix,
         "op10_multi_index": op10_multi_index,
