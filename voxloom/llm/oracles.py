@@ -27,6 +27,34 @@ select doc_id, len(ws)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coales
 from w left join h using (rid) left join t using (rid)
 """
 
+OP3 = r"""
+with w as (
+  select doc_id, row_number() over () rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws
+  from documents),
+p as (
+  select rid, i, ws[i] a, case when i > 1 then ws[i - 1] end b, case when i > 2 then ws[i - 2] end c
+  from (select rid, ws, unnest(range(1, len(ws) + 1)) i from w)),
+n1 as (select a, count(*) n from p group by a),
+n2 as (select b, a, count(*) n from p where b is not null group by b, a),
+n3 as (select c, b, a, count(*) n from p where c is not null group by c, b, a),
+t as (select count(*)::double n from p),
+s as (
+  select rid,
+    case when p.c is not null and n3.n >= 2 then log10(n3.n::double / x2.n)
+         else case when p.c is not null then log10(0.4::double) else 0 end
+            + case when p.b is not null and n2.n >= 2 then log10(n2.n::double / x1.n)
+                   else case when p.b is not null then log10(0.4::double) else 0 end + log10(n1.n::double / t.n) end end l
+  from p join n1 on p.a = n1.a cross join t
+  left join n2 on p.b = n2.b and p.a = n2.a
+  left join n3 on p.c = n3.c and p.b = n3.b and p.a = n3.a
+  left join n2 x2 on p.c = x2.b and p.b = x2.a
+  left join n1 x1 on p.b = x1.a),
+g as (select rid, round(sum(l), 4) l from s group by rid)
+select doc_id, len(ws)::bigint n_words, coalesce(l, 0.0::double) log10_score from w left join g using (rid)
+"""
+
 OP9 = r"""
 with d as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint size,
@@ -118,4 +146,4 @@ select page_id, host, path, rule,
 from j
 """
 
-ORACLE_SQL = {"op1_prefix_decontamination": OP1, "op6_host_reputation": OP6, "op9_source_mix": OP9}
+ORACLE_SQL = {"op1_prefix_decontamination": OP1, "op3_stupid_backoff": OP3, "op6_host_reputation": OP6, "op9_source_mix": OP9}

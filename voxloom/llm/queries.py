@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import contamination
 from .embedding_join import near_vectors
+from .language_model import backoff_scores
 from .mixing import mix
 from .ngram_join import classes
 from .oracles import ORACLE_SQL
 from .quality import quality
 from .sharding import assign
 from .substring_dedup import without_repeats
+from .token_grammar import token_ids
 from .url_reputation import judge
 
 
@@ -27,6 +30,14 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(table(spark, sf_dir, "documents"))
 
 
+def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(table(spark, sf_dir, "documents"))
+
+
+def op4_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,6 +66,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_prefix_decontamination": op1_prefix_decontamination,
         "op2_virtual_slots": op2_virtual_slots,
+        "op3_stupid_backoff": op3_stupid_backoff,
+        "op4_repair_tokens": op4_repair_tokens,
         "op5_byte_network": op5_byte_network,
         "op6_host_reputation": op6_host_reputation,
         "op7_previous_factors": op7_previous_factors,

@@ -32,7 +32,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, materialize, slices
+from .chunks import LAST, chunks, pack_sorted, read_chunk, unpack_sorted
+from .common import groups, materialize
 
 LENGTH = 50
 GRAM = 16
@@ -43,8 +44,6 @@ BUCKET = 16 << 20
 NAME_BITS = 52
 #: Windows that are put in order at a time.
 SORT_WINDOWS = 400_000
-#: Stands for a null id: no document comes after it.
-LAST = (1 << 63) - 1
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
 
@@ -99,17 +98,6 @@ def runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.n
     return names[cuts[inside]], cuts[inside], stops[inside], doc[inside]
 
 
-def _pack(names: np.ndarray) -> bytes:
-    """Sorted numbers as compressed differences, byte plane by byte plane."""
-    steps = np.diff(names, prepend=np.uint64(0))
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
 def _merged(pairs: np.ndarray) -> np.ndarray:
     """Intervals (n, 2) as disjoint ones in order; those that touch become one."""
     if not len(pairs):
@@ -120,56 +108,11 @@ def _merged(pairs: np.ndarray) -> np.ndarray:
     return np.stack([pairs[first, 0], reach[np.append(first[1:], len(pairs)) - 1]], 1)
 
 
-def chunks(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
-    """chunk, keys, ends, data: documents packed in order of arrival; the texts compressed, ids and text ends as int64."""
-
-    def pack(batches):
-        from pyspark import TaskContext
-
-        part, number, z = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=3)
-        keys: list[int] = []
-        texts: list[bytes] = []
-        size = 0
-
-        def row():
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([(part << 32) + number], pa.int64()),
-                    pa.array([np.array(keys, np.int64).tobytes()], pa.binary()),
-                    pa.array([np.cumsum([len(t) for t in texts], dtype=np.int64).tobytes()], pa.binary()),
-                    pa.array([z.compress(b"".join(texts))], pa.binary()),
-                    pa.array([size], pa.int64()),
-                ],
-                ["chunk", "keys", "ends", "data", "size"],
-            )
-
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for at, some in slices(batch, limit=chunk_bytes):
-                for i, text in enumerate(some):
-                    keys.append(ids[at + i])
-                    texts.append(text)
-                    size += len(text)
-                    if size >= chunk_bytes:
-                        yield row()
-                        keys, texts, size, number = [], [], 0, number + 1
-        if keys:
-            yield row()
-
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key")
-    return docs.select(key, "text").mapInArrow(pack, "chunk long, keys binary, ends binary, data binary, size long")
-
-
-def _read(batch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, ends, data = (batch.column(batch.schema.get_field_index(k))[i].as_py() for k in ("keys", "ends", "data"))
-    return np.frombuffer(keys, np.int64), np.frombuffer(ends, np.int64), np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-
-
 def _send_names(length: int, bits: int):
     def send(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, ends, data = _read(batch, i)
+                keys, ends, data = read_chunk(batch, i)
                 names, _, _, doc = runs(data, ends, length)
                 if not len(names):
                     continue
@@ -186,7 +129,7 @@ def _send_names(length: int, bits: int):
                     [
                         pa.array(some, pa.int32()),
                         pa.array([chunk] * len(some), pa.int64()),
-                        pa.array([_pack(names[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()),
+                        pa.array([pack_sorted(names[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()),
                         pa.array([np.packbits(several[cuts[b] : cuts[b + 1]]).tobytes() for b in some], pa.binary()),
                     ],
                     ["bucket", "chunk", "names", "several"],
@@ -198,7 +141,7 @@ def _send_names(length: int, bits: int):
 def _answer(batches):
     """One bit for each name that a chunk has sent: do several documents have it?"""
     for t in groups(batches, "bucket"):
-        names = [_unpack(x) for x in t.column("names").to_pylist()]
+        names = [unpack_sorted(x) for x in t.column("names").to_pylist()]
         sizes = [len(n) for n in names]
         several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(t.column("several").to_pylist(), sizes, strict=True)])
         names = np.concatenate(names)
@@ -229,7 +172,7 @@ def _send_runs(length: int, bits: int):
                 answer = answers[i].as_py()
                 if not answer:
                     continue
-                keys, ends, data = _read(batch, i)
+                keys, ends, data = read_chunk(batch, i)
                 names, begin, stop, doc = runs(data, ends, length)
                 held = np.unique(names)
                 bucket = (held >> np.uint64(NAME_BITS - bits)).astype(np.int64)
@@ -424,7 +367,7 @@ def _cut(batches):
     for batch in batches:
         removed = batch.column(batch.schema.get_field_index("removed"))
         for i in range(batch.num_rows):
-            keys, ends, data = _read(batch, i)
+            keys, ends, data = read_chunk(batch, i)
             begins = ends - np.diff(ends, prepend=0)
             mark = np.zeros(len(data) + 1, np.int32)
             for part in removed[i].as_py() or []:
