@@ -93,10 +93,36 @@ def lookup(rows: DataFrame, key: str, found: DataFrame, weight: str) -> DataFram
     seen = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
         "_own_salt", F.when(F.col("_is_hot"), 1 + F.pmod(F.xxhash64(*names), F.lit(1 << 40))).otherwise(F.lit(0).cast("long"))
     )
-    both = seen.join(cold, (F.col(key) == F.col("_key")) & (F.col("_own_salt") == F.col("_salt")), "left")
+    both = seen.join(cold.hint("merge"), (F.col(key) == F.col("_key")) & (F.col("_own_salt") == F.col("_salt")), "left")
     return both.select(*names, F.coalesce("_hot", "_cold").alias("_found"))
 
 
+#: Bits of a bitmap of ids, whatever their number: 2 MB.
+BITMAP_BITS = 1 << 24
+
+
+def by_bitmap(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """rows with `_maybe`: false if the key surely isn't among ids (one column of the key's type).
+
+    The bitmap is broadcast; its size is fixed. Many ids make it less telling,
+    never wrong. A null key is a key like any other.
+    """
+
+    def place(c):
+        return F.pmod(F.xxhash64(c), F.lit(BITMAP_BITS)) + 1
+
+    own = ids.select(place(F.col(ids.columns[0])).alias("_place"))
+    maps = own.groupBy(F.bitmap_bucket_number("_place").alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits")
+    )
+    seen = rows.withColumn("_place", place(F.col(key))).withColumn("_own_part", F.bitmap_bucket_number("_place"))
+    both = seen.join(F.broadcast(maps), F.col("_own_part") == F.col("_part"), "left")
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return both.select(*rows.columns, found.alias("_maybe"))
+
+
 def groups(batches, key: str):
     """Tables of consecutive rows with one key, from batches that are sorted by it."""
     import numpy as np

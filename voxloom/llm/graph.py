@@ -40,6 +40,14 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def grown(label, i: int, others) -> None:
+    """Labels, a number for each member, after i is joined with the others."""
+    import numpy as np
+
+    old = np.unique(np.append(label[others], label[i]))
+    label[np.isin(label, old)] = old[0]
+
+
 def forest(n: int, pairs) -> list[int]:
     """The smallest member's index for each of n members joined by pairs (i, j)."""
     root = list(range(n))

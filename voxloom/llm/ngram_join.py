@@ -22,14 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, lookup, materialize, slices, words_of
-from .graph import components, forest
+from .common import by_bitmap, groups, lookup, materialize, slices, words_of
+from .graph import components, forest, grown
 
 WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.99
 DEPTH = 3
-SMALL = 500
+SMALL = 3000
 #: Shingles and nodes of a verification block; a larger set is a block of its own.
 BLOCK_SHINGLES, BLOCK_NODES = 300_000, 500
 BINS = 128
@@ -179,11 +179,15 @@ def _bucket_edges(similarity: float):
                 continue
             sketches = np.frombuffer(b"".join(t.column("sketch").take(pa.array(order)).to_pylist()), np.uint8).reshape(-1, BINS)
             sizes = t.column("size").take(pa.array(order)).to_numpy()
-            pairs = ((i, int(j)) for i in range(len(nodes) - 1) for j in _similar(sketches, sizes, i, np.arange(i + 1, len(nodes)), similarity))
-            root = forest(len(nodes), pairs)
-            a = [nodes[i] for i, r in enumerate(root) if r != i]
+            label = np.arange(len(nodes))
+            for i in range(len(nodes) - 1):
+                others = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+                hits = _similar(sketches, sizes, i, others, similarity)
+                if len(hits):
+                    grown(label, i, hits)
+            a = np.flatnonzero(label != np.arange(len(nodes)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.binary()), pa.array([nodes[r] for i, r in enumerate(root) if r != i], pa.binary())], ["a", "b"]
+                [pa.array([nodes[i] for i in a], pa.binary()), pa.array([nodes[r] for r in label[a]], pa.binary())], ["a", "b"]
             )
 
     return compare
@@ -200,22 +204,25 @@ def _in_blocks(rows: DataFrame, key, n_blocks):
 
 def candidate_groups(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """node, component: nodes that sketches in common buckets put into one group, of two nodes at least."""
-    chains = nodes.select("node", "size", "sketch", F.explode("paths").alias("path"))
-    chains = materialize(chains.select("node", F.col("path")[0].alias("p1"), F.col("path")[1].alias("p2"), F.col("path")[2].alias("p3")), "paths")
-    members = None
+    members = large = None
     for level in range(1, DEPTH + 1):
-        here = chains.where(F.col(f"p{level}").isNotNull())
-        if level > 1:
-            here = here.join(large.withColumnRenamed("bucket", f"p{level - 1}"), f"p{level - 1}", "left_semi")
-        here = here.select("node", F.col(f"p{level}").alias("bucket")).distinct()
+        if level == 1:
+            here = nodes.select("node", F.explode(F.array_distinct(F.transform("paths", lambda p: p[0]))).alias("bucket"))
+        else:
+            pairs = F.array_distinct(F.transform("paths", lambda p, n=level: F.struct(p[n - 2].alias("above"), p[n - 1].alias("bucket"))))
+            here = nodes.select("node", F.explode(pairs).alias("p")).select("node", "p.above", "p.bucket")
+            here = here.join(large.withColumnRenamed("bucket", "above"), "above", "left_semi").select("node", "bucket").distinct()
+        here = here.where("bucket is not null")
         counts = materialize(here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-        large = counts.where(F.col("n") > SMALL).select("bucket")
         final = counts if level == DEPTH else counts.where(F.col("n") <= SMALL)
-        found = here.join(final, "bucket")
+        found = here.join(final.hint("merge"), "bucket")
         members = found if members is None else members.unionByName(found)
+        large = materialize(counts.where(F.col("n") > SMALL).select("bucket"), "large-buckets")
+        if not large.head(1):
+            break
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / SMALL))
     tasks = _in_blocks(members, F.col("bucket").cast("string"), n_blocks).select("node", "task")
-    tasks = tasks.join(nodes.select("node", "size", "sketch"), "node")
+    tasks = tasks.hint("merge").join(nodes.select("node", "size", "sketch"), "node")
     edges = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_bucket_edges(similarity), "a binary, b binary")
     return components(edges)
 
@@ -299,27 +306,29 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
         "nodes",
     )
     grouped = candidate_groups(nodes, similarity)
-    grouped = materialize(grouped.join(nodes.select("node", "copies", "first_id", "size"), "node"), "groups")
+    grouped = materialize(grouped.hint("merge").join(nodes.select("node", "copies", "first_id", "size"), "node"), "groups")
     n_blocks = grouped.groupBy("component").agg(
         F.greatest(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES)).alias("n_blocks")
     )
     tasks = _in_blocks(grouped.join(n_blocks, "component"), F.col("component"), F.col("n_blocks"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), F.col("text").cast("binary").alias("text"))
-    tasks = tasks.select("task", "lo", "hi", "own", "node", "copies", "first_id").join(texts, tasks["first_id"].eqNullSafe(texts["first_id"]))
+    tasks = materialize(tasks.select("task", "lo", "hi", "own", "node", "copies", "first_id"), "pairs-of-blocks")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
+    texts = by_bitmap(texts, "id", tasks.select("first_id")).where("_maybe")
+    tasks = tasks.hint("merge").join(texts, tasks["first_id"].eqNullSafe(texts["id"]))
     tasks = tasks.select("task", "lo", "hi", "own", "node", "copies", "text").repartition("task").sortWithinPartitions("task")
     verified = materialize(tasks.mapInArrow(_exact(words, similarity), "node binary, links long, root binary"), "verified")
     linked = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     known = (
         nodes.select("node", "copies", "first_id")
-        .join(linked, "node", "left")
-        .join(links, "node", "left")
+        .join(linked.hint("merge"), "node", "left")
+        .join(links.hint("merge"), "node", "left")
         .select(
             "node", "copies", "first_id", F.coalesce("component", "node").alias("component"), F.coalesce("links", F.lit(0)).alias("links")
         )
     )
     firsts = known.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    known = materialize(known.join(firsts, "component").select("node", "copies", "class_id", "links", (F.col("copies") - 1).alias("others")), "classes")
+    known = materialize(known.join(firsts.hint("merge"), "component").select("node", "copies", "class_id", "links", (F.col("copies") - 1).alias("others")), "classes")
     found = lookup(signed.select("doc_id", "node"), "node", known, "copies")
     class_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("_found.class_id"))
     return found.select(
@@ -333,15 +342,19 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
 def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The rows of docs that stay: one document of each class, with all columns of docs.
 
-    Of rows that repeat an id, one stays for each text class; rows without an
-    id stay if their class has no document with one.
+    Of the rows of an id that stays, one stays; rows without an id stay if one of
+    them is in a class that has no document with an id. Only rows that may go
+    are moved.
     """
     found = materialize(classes(docs, words, similarity, recall), "near")
-    kept = found.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    names = docs.columns
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
-    stay = row.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.head(1):
-        stay = stay.where("_id is not null").dropDuplicates(["_id"]).unionByName(stay.where("_id is null"))
-    return stay.select("_row.*")
+    by_id = found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    odd = materialize(by_id.where("not kept or n > 1").select(F.col("doc_id").alias("_odd"), "kept"), "near-odd")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*names).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
+    rows = by_bitmap(rows, "_id", odd.select("_odd"))
+    told = rows.where("_maybe").join(odd.hint("merge"), F.col("_id").eqNullSafe(F.col("_odd")), "left")
+    stay = rows.where("not _maybe").select("_row").unionByName(told.where("kept is null or _id is null and kept").select("_row"))
+    once = told.where("kept and _id is not null")
+    if odd.where("kept and _odd is not null").head(1):
+        once = once.dropDuplicates(["_id"])
+    return stay.unionByName(once.select("_row")).select("_row.*")
