@@ -44,6 +44,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """df written to the shared folder as a table in buckets of the key: joins on it move the other side only."""
+    spark = df.sparkSession
+    table_name = f"voxloom_{name}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", shared_path(spark, name)).bucketBy(n, key).saveAsTable(table_name)
+    return spark.table(table_name)
+
+
 def text_bytes(name: str = "text"):
     """UTF-8 bytes of a text column; null counts as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))

@@ -7,7 +7,10 @@ smaller values over that order decide whether it reaches LENGTH bytes.
 
 No machine holds the suffixes of the corpus, and few of them matter, so:
 
-1. Texts are packed into chunks of about CHUNK bytes, one table row each.
+0. Of texts that are equal byte for byte (by SHA-256) all but those of the
+   smallest document are settled at once; only they are moved.
+1. The other texts are packed into chunks of about CHUNK bytes, one table row
+   each; the table is in buckets, so what later meets it doesn't move it.
 2. Each window of LENGTH bytes is named by the least hash among its GRAM-byte
    grams. Windows of one name in a row are a run; equal windows have equal
    names. Chunks send the names they hold, packed, to buckets, which answer
@@ -33,17 +36,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import LAST, chunks, pack_sorted, read_chunk, unpack_sorted
-from .common import groups, materialize
+from .common import bucketed, by_bitmap, groups, lookup, materialize, text_bytes
 
 LENGTH = 50
 GRAM = 16
 CHUNK = 4 << 20
 #: Text bytes for each bucket.
-BUCKET = 16 << 20
+BUCKET = 8 << 20
 #: Bits of a name; more documents may seem to share one with fewer, which costs time only.
 NAME_BITS = 52
 #: Windows that are put in order at a time.
-SORT_WINDOWS = 400_000
+SORT_WINDOWS = 200_000
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
 
@@ -253,7 +256,7 @@ def removed_windows(data: np.ndarray, starts: np.ndarray, key: np.ndarray, lengt
     for p in range(passes):
         sel = np.flatnonzero(turn == p)
         for part in _by_first_bytes(data, starts, sel, length):
-            w = np.ascontiguousarray(data[starts[part][:, None] + np.arange(length)]).view(f"S{length}").ravel()
+            w = np.lib.stride_tricks.sliding_window_view(data, length)[starts[part]].view(f"S{length}").ravel()
             order = np.argsort(w, kind="stable")
             same = w[order[1:]] == w[order[:-1]]
             stretch = np.concatenate(([0], np.cumsum(~same)))
@@ -406,7 +409,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CH
     remove each other, so repeated rows fare alike; texts shorter than `length`
     stay whole. An empty table gives no rows. Other columns are not looked at.
     """
-    packed = materialize(chunks(docs, chunk_bytes), "chunks")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), text_bytes().alias("text"))
+    firsts, copies = _copies(rows)
+    packed = bucketed(chunks(firsts.select(F.col("key").alias("doc_id"), "text"), chunk_bytes), "chunk", "chunks")
     size = packed.agg(F.sum("size").alias("n")).first()["n"] or 0
     bits = max(0, (max(1, size // bucket_bytes) - 1).bit_length())
     names = packed.select("chunk", "keys", "ends", "data").mapInArrow(
@@ -414,12 +419,39 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CH
     )
     answers = names.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "chunk long, bucket int, bits binary")
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
-    told = packed.select("chunk", "keys", "ends", "data").join(answers, "chunk")
+    told = packed.select("chunk", "keys", "ends", "data").hint("merge").join(answers, "chunk")
     sent = told.mapInArrow(
         _send_runs(length, bits),
         "bucket int, chunk long, names binary, keys binary, sizes binary, data binary, refs binary, places binary, settled binary",
     )
     removed = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_settle(length), "chunk long, removed binary")
     removed = removed.groupBy("chunk").agg(F.collect_list("removed").alias("removed"))
-    whole = packed.select("chunk", "keys", "ends", "data").join(removed, "chunk", "left")
-    return whole.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    whole = packed.select("chunk", "keys", "ends", "data").hint("merge").join(removed, "chunk", "left")
+    cut = whole.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    n, gone = F.octet_length("text").cast("long"), F.octet_length("text") >= length
+    return cut.unionByName(
+        copies.select(
+            F.nullif("key", F.lit(LAST)).alias("doc_id"),
+            n.alias("n_bytes"),
+            F.when(gone, n).otherwise(F.lit(0).cast("long")).alias("n_removed"),
+            gone.cast("long").alias("n_spans"),
+            F.sha2(F.when(gone, F.lit(b"")).otherwise(F.col("text")), 256).alias("kept_sha256"),
+        )
+    )
+
+
+def _copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows (key, text) that are the first of their text, and those that repeat the text of a smaller key."""
+    digest = F.sha2("text", 256).alias("digest")
+    told = materialize(rows.select("key", digest), "digests")
+    firsts = told.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = lookup(told, "digest", firsts, "n").where("key > _found.first").select(F.col("key").alias("copy"), F.col("digest").alias("of"))
+    later = materialize(later.distinct(), "copies")
+    seen = by_bitmap(rows, "key", later.select("copy"))
+    maybe = seen.where("_maybe").select("key", "text", digest)
+    same = (F.col("key") == F.col("copy")) & (F.col("digest") == F.col("of"))
+    alone = seen.where("not _maybe").select("key", "text")
+    return (
+        alone.unionByName(maybe.join(later.hint("merge"), same, "left_anti").select("key", "text")),
+        maybe.join(later.hint("merge"), same, "left_semi").select("key", "text"),
+    )
