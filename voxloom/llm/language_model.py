@@ -1,6 +1,6 @@
 """Stupid-backoff scores of documents under n-gram counts of the whole corpus.
 
-Texts are packed into chunks. Each chunk explodes its n-grams, adds up equal
+Texts are packed into chunks, a table in buckets. Each chunk explodes its n-grams, adds up equal
 ones and sends them, packed and partitioned by hash, to the count tables, which
 add the chunks up and answer with the counts of all documents. Joined back to
 the chunk, these give each word's score, summed per document. N-grams of two and
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import LAST, chunks, pack_sorted, read_chunk, unpack_sorted
-from .common import groups, materialize, words_of
+from .common import bucketed, groups, words_of
 
 ORDER = 3
 BACKOFF = 0.4
@@ -173,7 +173,7 @@ def backoff_scores(
     score 0. Repeated rows are documents of their own and count as often as they
     stand. An empty table gives no rows. Other columns are not looked at.
     """
-    packed = materialize(chunks(docs, chunk_bytes, count_words=True), "lm-chunks")
+    packed = bucketed(chunks(docs, chunk_bytes, count_words=True), "chunk", "lm_chunks")
     size = packed.agg(F.sum("size").alias("n"), F.sum("words").alias("words")).first()
     total, bucket_bits = size["words"] or 0, max(0, (max(1, (size["n"] or 0) // bucket_bytes) - 1).bit_length())
     bits = min(64, 24 + int(total).bit_length())
@@ -181,5 +181,5 @@ def backoff_scores(
     sent = packed.select(*cols).mapInArrow(_send(order, bits, bucket_bits), "bucket int, chunk long, names binary, counts binary")
     answers = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count, "chunk long, bucket int, counts binary")
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts")).alias("answers"))
-    told = packed.select(*cols).join(answers, "chunk", "left")
+    told = packed.select(*cols).hint("merge").join(answers, "chunk", "left")
     return told.mapInArrow(_score(order, bits, total, backoff, least_count), "doc_id long, n_words long, log10_score double")
