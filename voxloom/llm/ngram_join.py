@@ -202,25 +202,26 @@ def _in_blocks(rows: DataFrame, key, n_blocks):
     return pairs.withColumn("task", F.concat(key.cast("binary"), F.encode(F.format_string(":%d:%d", "lo", "hi"), "utf-8")))
 
 
-def candidate_groups(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def candidate_groups(nodes: DataFrame, similarity: float = SIMILARITY, small: int = SMALL) -> DataFrame:
     """node, component: nodes that sketches in common buckets put into one group, of two nodes at least."""
     members = large = None
     for level in range(1, DEPTH + 1):
         if level == 1:
             here = nodes.select("node", F.explode(F.array_distinct(F.transform("paths", lambda p: p[0]))).alias("bucket"))
         else:
-            pairs = F.array_distinct(F.transform("paths", lambda p, n=level: F.struct(p[n - 2].alias("above"), p[n - 1].alias("bucket"))))
+            above, own = level - 2, level - 1
+            pairs = F.array_distinct(F.transform("paths", lambda p: F.struct(p[above].alias("above"), p[own].alias("bucket"))))  # noqa: B023
             here = nodes.select("node", F.explode(pairs).alias("p")).select("node", "p.above", "p.bucket")
             here = here.join(large.withColumnRenamed("bucket", "above"), "above", "left_semi").select("node", "bucket").distinct()
         here = here.where("bucket is not null")
         counts = materialize(here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-        final = counts if level == DEPTH else counts.where(F.col("n") <= SMALL)
+        final = counts if level == DEPTH else counts.where(F.col("n") <= small)
         found = here.join(final.hint("merge"), "bucket")
         members = found if members is None else members.unionByName(found)
-        large = materialize(counts.where(F.col("n") > SMALL).select("bucket"), "large-buckets")
+        large = materialize(counts.where(F.col("n") > small).select("bucket"), "large-buckets")
         if not large.head(1):
             break
-    n_blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / SMALL))
+    n_blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / small))
     tasks = _in_blocks(members, F.col("bucket").cast("string"), n_blocks).select("node", "task")
     tasks = tasks.hint("merge").join(nodes.select("node", "size", "sketch"), "node")
     edges = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_bucket_edges(similarity), "a binary, b binary")
@@ -281,7 +282,15 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+def classes(
+    docs: DataFrame,
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+    small: int = SMALL,
+    block_shingles: int = BLOCK_SHINGLES,
+    block_nodes: int = BLOCK_NODES,
+) -> DataFrame:
     """doc_id, class_id, n_links, kept: a row for each row of docs.
 
     n_links counts the other rows whose Jaccard similarity is as wanted, copies
@@ -305,10 +314,10 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
         ),
         "nodes",
     )
-    grouped = candidate_groups(nodes, similarity)
+    grouped = candidate_groups(nodes, similarity, small)
     grouped = materialize(grouped.hint("merge").join(nodes.select("node", "copies", "first_id", "size"), "node"), "groups")
     n_blocks = grouped.groupBy("component").agg(
-        F.greatest(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES)).alias("n_blocks")
+        F.greatest(F.ceil(F.sum("size") / block_shingles), F.ceil(F.count("*") / block_nodes)).alias("n_blocks")
     )
     tasks = _in_blocks(grouped.join(n_blocks, "component"), F.col("component"), F.col("n_blocks"))
     tasks = materialize(tasks.select("task", "lo", "hi", "own", "node", "copies", "first_id"), "pairs-of-blocks")
