@@ -1,9 +1,11 @@
 """Document quality by a byte-level convolutional network in numpy.
 
 Bytes are embedded, learned filters of WIDTH bytes slide over the whole text in
-steps of STEP, their outputs are max-pooled in overlapping chunks of two blocks,
-a small layer makes a logit of each chunk, and the mean, largest and least logit
-of a document are combined into one probability. Training uses a bounded sample
+steps of STEP, and dilated filters compare each byte with those up to LAGS
+before it, which tells text that repeats itself. Their outputs are max-pooled in
+overlapping chunks of two blocks, a small layer makes a logit of each chunk, and
+the mean, largest and least logit of a document are combined into one
+probability. Training uses a bounded sample
 of labelled rows (TRAIN_ROWS documents, TRAIN_CHUNKS chunks of each); scoring
 reads every byte of every text.
 """
@@ -25,7 +27,11 @@ FOLDS = 5
 THRESHOLD = 0.3
 BLOCK, WIDTH, STEP = 128, 8, 4
 EMBED, FILTERS, HIDDEN = 8, 24, 12
-STEPS, BATCH, RATE = 500, 32, 0.01
+#: Zeros that end each text, so that no filter reaches from one text into another.
+LAGS = 32
+#: Bytes that the dilated filters compare at once.
+ECHO = 4
+STEPS, BATCH, RATE = 400, 32, 0.01
 _GROUP = STEP * EMBED
 _PER_BLOCK = BLOCK // STEP
 
@@ -36,8 +42,24 @@ def fold(doc_id):
 
 
 def n_blocks(length: int) -> int:
-    """Blocks of a text: its bytes and WIDTH zeros at least, two blocks at least."""
-    return max(2, -(-(length + WIDTH) // BLOCK))
+    """Blocks of a text: its bytes and LAGS zeros at least, two blocks at least."""
+    return max(2, -(-(length + LAGS) // BLOCK))
+
+
+def echoes(data: np.ndarray) -> np.ndarray:
+    """For each row of LAGS + n bytes the share of its last n that end ECHO bytes which also end 2 to LAGS bytes before.
+
+    Zeros stand for no byte; shares of few bytes are damped.
+    """
+    width = data.shape[1]
+    there = data[:, LAGS:] != 0
+    any_lag = np.zeros(there.shape, bool)
+    for lag in range(2, LAGS - ECHO + 2):
+        same = data[:, LAGS - ECHO + 1 :] == data[:, LAGS - ECHO + 1 - lag : width - lag]
+        two = same[:, 1:] & same[:, :-1]
+        any_lag |= two[:, 2:] & two[:, :-2]
+    any_lag &= there
+    return (np.count_nonzero(any_lag, axis=1) / (np.count_nonzero(there, axis=1) + 8.0)).astype(np.float32)
 
 
 class ByteNet:
@@ -53,7 +75,7 @@ class ByteNet:
             "embed": (rng.standard_normal((256, EMBED)) * 0.5).astype(np.float32),
             "filters": start(2 * _GROUP, FILTERS),
             "bias": np.zeros(FILTERS, np.float32),
-            "hidden": start(FILTERS, HIDDEN),
+            "hidden": start(FILTERS + 1, HIDDEN),
             "hidden_bias": np.zeros(HIDDEN, np.float32),
             "out": start(HIDDEN, 1)[:, 0],
             "out_bias": np.zeros(1, np.float32),
@@ -70,9 +92,13 @@ class ByteNet:
         data = np.frombuffer(b"".join(t.ljust(n * BLOCK, b"\0") for t, n in zip(texts, blocks.tolist(), strict=True)), np.uint8)
         ends = np.cumsum(blocks)
         best = np.empty((len(data) // BLOCK, FILTERS), np.float32)
+        echo = np.empty(len(best), np.float32)
+        led = np.concatenate((np.zeros(LAGS, np.uint8), data))
         run = 2048
         for at in range(0, len(best), run):
             to = min(len(best), at + run)
+            rows = np.lib.stride_tricks.sliding_window_view(led[at * BLOCK : to * BLOCK + LAGS], LAGS + BLOCK)[::BLOCK]
+            echo[at:to] = echoes(np.ascontiguousarray(rows))
             part = data[at * BLOCK : to * BLOCK + STEP]
             part = np.concatenate((part, np.zeros((to - at) * BLOCK + STEP - len(part), np.uint8)))
             x = p["embed"][part].reshape(-1, _GROUP)
@@ -82,7 +108,7 @@ class ByteNet:
             last = ends[(ends > at) & (ends <= to)] - 1 - at  # the last window of a text's last block reaches into the next text
             out[last, -1] = out[last, -2]
             out.max(axis=1, out=best[at:to])
-        best = np.maximum(best + p["bias"], 0)
+        best = np.concatenate((np.maximum(best + p["bias"], 0), echo[:, None]), axis=1)
         starts = ends - blocks
         chunk = np.ones(len(best), bool)
         chunk[ends - 1] = False
@@ -94,13 +120,14 @@ class ByteNet:
         return np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 6)
 
     def train(self, docs: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> ByteNet:
-        """docs: for each its chunks, (n, 2 * BLOCK + STEP) bytes. Adam over balanced batches."""
+        """docs: for each its chunks as chunks_of gives them. Adam over balanced batches."""
+        echo = [np.maximum(echoes(d[:, : LAGS + BLOCK]), echoes(d[:, BLOCK : LAGS + 2 * BLOCK])) for d in docs]
         rng, p = np.random.default_rng(seed), self.p
         moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
         by_label = [np.flatnonzero(labels == v) for v in (0, 1)]
         for step in range(1, STEPS + 1):
             pick = np.concatenate([rng.choice(own, BATCH // 2) for own in by_label])
-            grads = self._gradients([docs[i] for i in pick], labels[pick].astype(np.float32))
+            grads = self._gradients([docs[i][:, LAGS:] for i in pick], np.concatenate([echo[i] for i in pick]), labels[pick].astype(np.float32))
             rate = RATE * min(1, step / 20) * (1 - 0.95 * step / STEPS)
             for k, g in grads.items():
                 m, v = moments[k]
@@ -110,7 +137,7 @@ class ByteNet:
                 p[k] -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         return self
 
-    def _gradients(self, docs: list[np.ndarray], y: np.ndarray) -> dict[str, np.ndarray]:
+    def _gradients(self, docs: list[np.ndarray], echo: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         p, counts = self.p, np.array([len(d) for d in docs])
         chunks = np.concatenate(docs)
         n, at = len(chunks), np.concatenate(([0], np.cumsum(counts)[:-1]))
@@ -120,7 +147,7 @@ class ByteNet:
         out = wide @ p["filters"] + p["bias"]
         where = out.argmax(axis=1)
         peak = np.take_along_axis(out, where[:, None], axis=1)[:, 0]
-        pooled = np.maximum(peak, 0)
+        pooled = np.concatenate((np.maximum(peak, 0), echo[:, None]), axis=1)
         pre = pooled @ p["hidden"] + p["hidden_bias"]
         hid = np.maximum(pre, 0)
         logit = hid @ p["out"] + p["out_bias"][0]
@@ -132,14 +159,14 @@ class ByteNet:
         dl = (dz * p["pool"][0] / counts)[of]
         dl += (logit == top[of]) * (dz * p["pool"][1])[of] + (logit == low[of]) * (dz * p["pool"][2])[of]
         dh = np.outer(dl, p["out"]) * (pre > 0)
-        dp = (dh @ p["hidden"].T) * (peak > 0)
+        dp = (dh @ p["hidden"][:FILTERS].T) * (peak > 0)
         rows = np.arange(n)[:, None]
         at_peak = wide[rows, where]
         d_filters = np.einsum("ncg,nc->gc", at_peak, dp)
         d_wide = np.einsum("nc,gc->ncg", dp, p["filters"]).reshape(n, FILTERS, WIDTH, EMBED)
         read = chunks[rows[:, :, None], (where * STEP)[:, :, None] + np.arange(WIDTH)]
-        d_embed = np.zeros_like(p["embed"])
-        np.add.at(d_embed, read.ravel(), d_wide.reshape(-1, EMBED))
+        by_byte, d_wide = read.ravel(), d_wide.reshape(-1, EMBED)
+        d_embed = np.stack([np.bincount(by_byte, d_wide[:, j], 256) for j in range(EMBED)], 1).astype(np.float32)
         return {
             "embed": d_embed,
             "filters": d_filters,
@@ -153,11 +180,11 @@ class ByteNet:
 
 
 def chunks_of(text: bytes) -> np.ndarray:
-    """Up to TRAIN_CHUNKS chunks of a text, evenly spaced, as the scoring cuts them."""
+    """Up to TRAIN_CHUNKS chunks of a text, evenly spaced, as the scoring cuts them, each led by the LAGS bytes before it."""
     blocks = n_blocks(len(text))
-    data = np.frombuffer(text.ljust(blocks * BLOCK + STEP, b"\0"), np.uint8)
+    data = np.frombuffer(b"\0" * LAGS + text.ljust(blocks * BLOCK + STEP, b"\0"), np.uint8)
     starts = np.unique(np.linspace(0, blocks - 2, min(TRAIN_CHUNKS, blocks - 1)).round().astype(int)) * BLOCK
-    return np.stack([data[s : s + 2 * BLOCK + STEP] for s in starts])
+    return np.stack([data[s : s + LAGS + 2 * BLOCK + STEP] for s in starts])
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[np.ndarray], np.ndarray]:
@@ -186,7 +213,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     found = own.select("label", "text").mapInArrow(cut, "label int, chunks binary").limit(2 * rows).collect()
     found = sorted((r["label"], bytes(r["chunks"])) for r in found)
-    size = 2 * BLOCK + STEP
+    size = LAGS + 2 * BLOCK + STEP
     return [np.frombuffer(c, np.uint8).reshape(-1, size) for _, c in found], np.array([y for y, _ in found], np.int64)
 
 
