@@ -84,6 +84,9 @@ def window_names(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np
             span *= 2
         rest = width - span
         out[at:to] = np.minimum(h[: to - at], h[rest : rest + to - at]) if rest else h[: to - at]
+    out *= _A  # the least of many hashes is small: spread evenly again
+    out ^= out >> np.uint64(29)
+    out *= _D
     return out >> np.uint64(64 - NAME_BITS)
 
 
