@@ -28,7 +28,7 @@ from .common import bucketed, groups, words_of
 ORDER = 3
 BACKOFF = 0.4
 LEAST_COUNT = 2
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Text bytes for each partition of the count tables.
 BUCKET = 16 << 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
