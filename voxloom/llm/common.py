@@ -53,6 +53,17 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     return spark.table(table_name)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """Names that none of the columns has, in any case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def text_bytes(name: str = "text"):
     """UTF-8 bytes of a text column; null counts as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))

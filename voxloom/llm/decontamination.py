@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, words_of
+from .common import fresh, materialize, slices, words_of
 
 WINDOW = 13
 SHINGLE = 5
@@ -181,11 +181,10 @@ def _blocks(items: DataFrame, window: int, shingle: int, containment: float):
 
 
 def matched(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, containment: float = CONTAINMENT) -> DataFrame:
-    """docs with `_voxloom_n_words` long, `_voxloom_spans` binary (int64 pairs: from word, to word) and `_voxloom_items` array<string>."""
+    """docs and, last, its number of words, spans as binary (int64 pairs: from word, to word) and items as array<string>."""
     names = docs.columns
-    out = docs.withColumns(
-        {"_voxloom_n_words": F.lit(0).cast("long"), "_voxloom_spans": F.lit(b""), "_voxloom_items": F.array().cast("array<string>")}
-    )
+    words, spans, found = fresh(names, "_n_words", "_spans", "_items")
+    out = docs.withColumns({words: F.lit(0).cast("long"), spans: F.lit(b""), found: F.array().cast("array<string>")})
     blocks = iter(_blocks(items, window, shingle, containment))
     block = next(blocks)
     while block:

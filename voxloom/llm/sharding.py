@@ -76,7 +76,7 @@ def rebalance(slot_map: list[int], weights: dict[int, int], n_shards: int, toler
     for _ in range(len(out)):
         frm = max(range(n_shards), key=lambda s: (load[s], -s))
         to = min(grown or range(n_shards), key=lambda s: (load[s], s))
-        if load[frm] <= mean * (1 + tolerance) or load[to] >= mean:
+        if load[frm] <= mean * (1 + tolerance) and load[to] >= mean * (1 - tolerance):
             break
         room = min(load[frm] - load[to], mean - load[to] + tolerance * mean)
         fits = [k for k in held[frm] if 0 < weights.get(k, 0) < room]
