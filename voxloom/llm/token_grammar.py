@@ -18,11 +18,14 @@ A shard is one binary value:
 
 from __future__ import annotations
 
+import functools
+import os
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +41,8 @@ MOST_RULES = 1 << 14
 LEAST_GAIN = 0.08
 SLOT_BITS = 19
 STRIDE = 1024
+#: Text that is encoded at a time.
+TEXT_BYTES = 8 << 20
 #: Pieces of text whose ids a worker remembers.
 MOST_PIECES = 600_000
 MAGIC, VERSION = b"VLRP", 1
@@ -107,7 +112,7 @@ def write_shard(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, base: int)
     before = np.concatenate(([0], np.cumsum(size[seq], dtype=np.int64)))
     high = int(max(0, base + len(rules) - 1) >> 16).bit_length()
     planes = [np.packbits((seq >> np.uint32(16 + b)) & np.uint32(1)).tobytes() for b in range(high)]
-    nulls = np.packbits([d is None for d in doc_ids]).tobytes()
+    nulls = np.packbits(np.array([d is None for d in doc_ids], bool)).tobytes()
     directory = before[:-1][::STRIDE].astype(np.uint32)
     head = _HEADER.pack(MAGIC, VERSION, high, base, len(doc_ids), len(ids), len(rules), len(rounds), len(seq), STRIDE, len(directory), 0)
     parts = [
@@ -195,12 +200,13 @@ class Shard:
 
 
 class Encoder:
-    """Ids of texts by a file of the tokenizers library, as bytes of uint16 (uint32 for more than 65,536 ids).
+    """Ids of texts by a file of the tokenizers library.
 
     This vocabulary's splitting never joins what stands before a single space
     and what follows it if neither side is white space, so the ids of a text are
-    those of its pieces, and pieces recur. A text with any other white space
-    beside a space is encoded as a whole.
+    those of its pieces, and pieces recur: each different one of a batch is
+    looked up once, and encoded only if it is new. A text with any other white
+    space beside a space is encoded as a whole.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -209,6 +215,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.base = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
         self.kind = np.uint16 if self.base <= 1 << 16 else np.uint32
+        self.width = np.dtype(self.kind).itemsize
         self.end = np.array([end_id], self.kind).tobytes()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: In this vocabulary a character of a token stands for one byte.
@@ -217,12 +224,16 @@ class Encoder:
             self.n_bytes[i] = len(token)
         #: Signs that are a token of their own behind letters, with their ids.
         self.tails = dict(zip(",.", self._encode([",", "."]), strict=True))
-        self.pieces: dict[str, bytes | None] = {}
+        #: Ids of pieces that follow a space; empty for those that need their neighbours.
+        self.pieces: dict[str, bytes] = {}
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces that follow a space, encoded as one text and cut by the bytes that each id stands for."""
         out: list[bytes] = []
-        width = np.dtype(self.kind).itemsize
         for i in range(0, len(pieces), 4000):
             some = pieces[i : i + 4000]
             text = " " + " ".join(some)
@@ -232,46 +243,77 @@ class Encoder:
             (ids,) = self._encode([text])
             sizes = list(map(len, some)) if text.isascii() else [len(p.encode()) for p in some]
             ends = np.cumsum(self.n_bytes[np.frombuffer(ids, self.kind)])
-            cuts = ((np.searchsorted(ends, np.cumsum(np.array(sizes) + 1)) + 1) * width).tolist()
+            cuts = ((np.searchsorted(ends, np.cumsum(np.array(sizes) + 1)) + 1) * self.width).tolist()
             out += [ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
         return out
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
-
-    def _look_up(self, pieces: set[str]) -> dict[str, bytes | None]:
-        """Ids of pieces that follow a space; null for those that have to be encoded with their neighbours."""
-        found = dict(zip(pieces, map(self.pieces.get, pieces), strict=True))
-        new = [p for p, ids in found.items() if ids is None]
-        stem = {}
-        for p in new:
-            if p and not p[0].isspace() and not p[-1].isspace():
-                stem[p] = p[:-1] if p[-1] in self.tails and p[:-1].isalpha() else p
-        todo = list({s for s in stem.values() if s not in self.pieces})
-        ids = dict(zip(todo, self._pieces(todo), strict=True))
-        for p, s in stem.items():
+    def _look_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces that follow a space; empty for those that need their neighbours."""
+        found = list(map(self.pieces.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        stem: dict[int, str] = {}
+        for i in new:
+            p = pieces[i]
+            if not p or p[0].isspace() or p[-1].isspace():
+                found[i] = b""
+            else:
+                stem[i] = p[:-1] if p[-1] in self.tails and p[:-1].isalpha() else p
+        todo = [s for s in dict.fromkeys(stem.values()) if s not in self.pieces]
+        ids = dict(zip(todo, self._encode_pieces(todo), strict=True))
+        for i, s in stem.items():
             own = ids.get(s) or self.pieces[s]
-            found[p] = own if s is p else own + self.tails[p[-1]]
+            found[i] = own if len(s) == len(pieces[i]) else own + self.tails[pieces[i][-1]]
         if len(self.pieces) < MOST_PIECES:
             self.pieces.update(ids)
-            self.pieces.update({p: found[p] for p in stem})
+            self.pieces.update((pieces[i], found[i]) for i in new)
         return found
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        heads = list({s[0] for s in split})
-        head = dict(zip(heads, self._encode(heads), strict=True))
-        tail = self._look_up(set().union(*[s[1:] for s in split]))
-        out: list[bytes] = []
-        for text, s in zip(texts, split, strict=True):
-            ids = [head[s[0]], *map(tail.__getitem__, s[1:])]
-            if None in ids or (len(s) > 1 and (not s[0] or s[0][-1].isspace())):
-                out.append(self._encode([text])[0] + self.end)
-            else:
-                ids.append(self.end)
-                out.append(b"".join(ids))
-        return out
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (none is null) in a row, each text's with the end id, and each text's number of them."""
+        split = pc.split_pattern(texts, " ")
+        counts = pc.list_value_length(split).to_numpy().astype(np.int64)
+        ends = np.cumsum(counts)
+        first = ends - counts
+        coded = split.flatten().dictionary_encode()
+        entry = coded.indices.to_numpy().astype(np.int64)
+        ids = self._look_up(coded.dictionary.to_pylist())
+        n_pieces = len(ids)
+        sizes = np.fromiter(map(len, ids), np.int64, n_pieces)
+        odd = sizes[entry] == 0
+        odd[first] = False
+        heads = split.flatten().take(pa.array(first)).to_pylist()
+        whole = np.concatenate(([0], np.cumsum(odd)))
+        whole = whole[ends] > whole[first]
+        for i in np.flatnonzero(counts > 1).tolist():
+            if not heads[i] or heads[i][-1].isspace():
+                whole[i] = True
+        for i in np.flatnonzero(whole).tolist():
+            entry[first[i] : ends[i]] = n_pieces  # an empty one
+            heads[i] = texts[i].as_py()
+        different = list(dict.fromkeys(heads))
+        number = dict(zip(different, range(n_pieces + 1, n_pieces + 1 + len(different)), strict=True))
+        entry[first] = [number[h] for h in heads]
+        ids += [b"", *self._encode(different), self.end]
+        places = np.empty(len(entry) + len(counts), np.int64)
+        at_end = ends + np.arange(len(counts))
+        places[at_end] = len(ids) - 1
+        inside = np.ones(len(places), bool)
+        inside[at_end] = False
+        places[inside] = entry
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        n = sizes[places]
+        done = np.cumsum(n)
+        shift = (np.cumsum(sizes) - sizes)[places] - (done - n)
+        out = flat[np.arange(done[-1] if len(done) else 0) + np.repeat(shift, n)]
+        return out, np.diff(done[at_end], prepend=0)
+
+
+@functools.cache
+def encoder(path: str, end_id: int) -> Encoder:
+    """One for each worker, so that the tasks that follow each other in it load the file and meet the pieces once."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path, end_id)
 
 
 def token_shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -282,35 +324,38 @@ def token_shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens:
     """
 
     def write(batches):
-        import os
-
         from pyspark import TaskContext
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        part, number, encode = TaskContext.get().partitionId(), 0, Encoder(path, end_id)
+        part, number, encode = TaskContext.get().partitionId(), 0, encoder(path, end_id)
         doc_ids: list = []
-        held: list[bytes] = []
-        size, width = 0, np.dtype(encode.kind).itemsize
+        lengths: list[int] = []
+        held: list[np.ndarray] = []
+        size = 0
 
         def row():
-            lengths = np.array([len(x) // width for x in held], np.int64)
-            data = write_shard(doc_ids, lengths, np.frombuffer(b"".join(held), encode.kind), encode.base)
+            data = write_shard(doc_ids, np.array(lengths, np.int64), np.concatenate(held), encode.base)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([size], pa.int64()), pa.array([data], pa.binary())],
                 ["part", "shard", "n_tokens", "data"],
             )
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for at, texts in slices(batch):
-                for i, x in enumerate(encode([t.decode("utf-8", "replace") for t in texts])):
-                    doc_ids.append(ids[at + i])
-                    held.append(x)
-                    size += len(x) // width
+            ids, texts = batch.column(0).to_pylist(), pc.fill_null(batch.column(1), "")
+            for at, some in slices(batch, limit=TEXT_BYTES):
+                found, n = encode(texts.slice(at, len(some)))
+                done = np.concatenate(([0], np.cumsum(n)))
+                a = 0
+                while a < len(n):  # up to the document that fills the shard
+                    b = min(len(n), int(np.searchsorted(done, done[a] + shard_tokens - size)))
+                    doc_ids += ids[at + a : at + b]
+                    lengths += n[a:b].tolist()
+                    held.append(found[done[a] : done[b]])
+                    size += int(done[b] - done[a])
+                    a = b
                     if size >= shard_tokens:
                         yield row()
-                        doc_ids, held, size, number = [], [], 0, number + 1
-        if held:
+                        doc_ids, lengths, held, size, number = [], [], [], 0, number + 1
+        if lengths:
             yield row()
 
     key = [F.col("doc_id").asc_nulls_last(), F.col("salt")]
