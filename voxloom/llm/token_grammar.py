@@ -251,18 +251,18 @@ class Encoder:
         """Ids of different pieces that follow a space; empty for those that need their neighbours."""
         found = list(map(self.pieces.get, pieces))
         new = [i for i, ids in enumerate(found) if ids is None]
-        stem: dict[int, str] = {}
-        for i in new:
-            p = pieces[i]
-            if not p or p[0].isspace() or p[-1].isspace():
-                found[i] = b""
-            else:
-                stem[i] = p[:-1] if p[-1] in self.tails and p[:-1].isalpha() else p
-        todo = [s for s in dict.fromkeys(stem.values()) if s not in self.pieces]
+        if not new:
+            return found
+        own = pa.array([pieces[i] for i in new], pa.string())
+        plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(own), own), pc.not_equal(own, ""))
+        last, stem = pc.utf8_slice_codeunits(own, -1), pc.utf8_slice_codeunits(own, 0, -1)
+        signed = pc.and_(pc.is_in(last, pa.array(list(self.tails))), pc.utf8_is_alpha(stem))
+        stems = pc.if_else(plain, pc.if_else(signed, stem, own), None).to_pylist()
+        tails = pc.if_else(signed, last, None).to_pylist()
+        todo = [s for s in dict.fromkeys(stems) if s is not None and s not in self.pieces]
         ids = dict(zip(todo, self._encode_pieces(todo), strict=True))
-        for i, s in stem.items():
-            own = ids.get(s) or self.pieces[s]
-            found[i] = own if len(s) == len(pieces[i]) else own + self.tails[pieces[i][-1]]
+        for i, s, tail in zip(new, stems, tails, strict=True):
+            found[i] = b"" if s is None else (ids.get(s) or self.pieces[s]) + (self.tails[tail] if tail else b"")
         if len(self.pieces) < MOST_PIECES:
             self.pieces.update(ids)
             self.pieces.update((pieces[i], found[i]) for i in new)
@@ -301,12 +301,8 @@ class Encoder:
         inside[at_end] = False
         places[inside] = entry
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
-        flat = np.frombuffer(b"".join(ids), self.kind)
-        n = sizes[places]
-        done = np.cumsum(n)
-        shift = (np.cumsum(sizes) - sizes)[places] - (done - n)
-        out = flat[np.arange(done[-1] if len(done) else 0) + np.repeat(shift, n)]
-        return out, np.diff(done[at_end], prepend=0)
+        out = np.frombuffer(b"".join(map(ids.__getitem__, places.tolist())), self.kind)
+        return out, np.diff(np.cumsum(sizes[places])[at_end], prepend=0)
 
 
 @functools.cache
