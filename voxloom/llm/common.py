@@ -19,16 +19,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir.
 
-    Where it is unset (tests on one machine), a folder of our own is made and set.
+    Where it is unset (tests on one machine), a folder of our own is made and
+    becomes the checkpoint folder.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="voxloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="voxloom-")
+            spark.sparkContext.setCheckpointDir(_OWN[app])
+        found = _OWN[app]
     return found.rstrip("/")
 
 
@@ -165,3 +171,12 @@ def groups(batches, key: str):
             last = now
     if held:
         yield pa.Table.from_batches(held)
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Deletes what the operators have written to the shared folder; results that weren't written yet can't be read afterwards."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith("voxloom_"):
+            spark.sql(f"drop table `{t.name}`")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/voxloom")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
