@@ -8,7 +8,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, words_of
+from .common import map_batches, slices, words_of
 
 #: Stands for a null id: no document comes after it.
 LAST = (1 << 63) - 1
@@ -69,7 +69,7 @@ def chunks(docs: DataFrame, chunk_bytes: int, count_words: bool = False) -> Data
             yield row()
 
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key")
-    return docs.select(key, "text").mapInArrow(pack, "chunk long, keys binary, ends binary, data binary, size long, words long")
+    return map_batches(docs.select(key, "text"), pack, "chunk long, keys binary, ends binary, data binary, size long, words long")
 
 
 def read_chunk(batch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -70,6 +70,39 @@ def fresh(columns: list[str], *names: str) -> list[str]:
     return out
 
 
+#: Rows of an Arrow batch of texts, which may be long.
+BATCH_ROWS = 1000
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow(run, schema) with small batches, in workers that give back what a task has held.
+
+    Workers live on from task to task and two or more share an executor's memory
+    with its JVM. The session's batch size is lowered if it is larger.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def trimmed(batches):
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(trimmed, schema)
+
+
+def release() -> None:
+    """Gives unused memory back to the system, where the C library can."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_bytes(name: str = "text"):
     """UTF-8 bytes of a text column; null counts as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))

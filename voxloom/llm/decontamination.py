@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, slices, words_of
+from .common import fresh, map_batches, materialize, slices, words_of
 
 WINDOW = 13
 SHINGLE = 5
@@ -160,7 +160,7 @@ def _counts(docs: DataFrame, block: ItemBlock) -> dict[tuple[int, int], int]:
                 [pa.array(np.full(len(some), k, np.int32)), pa.array(some.astype(np.int64)), pa.array(n[some])], ["k", "nth", "n"]
             )
 
-    rows = docs.select("text").mapInArrow(count, "k int, nth long, n long").groupBy("k", "nth").agg(F.sum("n").alias("n")).collect()
+    rows = map_batches(docs.select("text"), count, "k int, nth long, n long").groupBy("k", "nth").agg(F.sum("n").alias("n")).collect()
     return {(r["k"], int(block.shingles[r["k"]][r["nth"]])): r["n"] for r in rows}
 
 
@@ -189,7 +189,7 @@ def matched(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: in
     block = next(blocks)
     while block:
         block.order(_counts(docs, block))
-        out = out.mapInArrow(_matcher(block, len(names)), out.schema)
+        out = map_batches(out, _matcher(block, len(names)), out.schema)
         if block := next(blocks, None):
             out = materialize(out, "matched")
     return out
@@ -251,7 +251,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
             )
 
     found = matched(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), items, window, shingle, containment)
-    return found.mapInArrow(digest, schema)
+    return map_batches(found, digest, schema)
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, containment: float = CONTAINMENT) -> DataFrame:
@@ -265,4 +265,4 @@ def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW
             clean = pa.RecordBatch.from_arrays(batch.columns[:n], batch.schema.names[:n])
             yield clean.filter(pa.array(~((n_hit > 0) & (HIT_RATIO * n_hit >= n_words))))
 
-    return matched(docs, items, window, shingle, containment).mapInArrow(keep, docs.schema)
+    return map_batches(matched(docs, items, window, shingle, containment), keep, docs.schema)

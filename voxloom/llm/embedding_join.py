@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import groups, lookup, materialize
+from .common import groups, lookup, map_batches, materialize
 from .graph import components, forest
 
 SIMILARITY = 0.9
@@ -132,7 +132,7 @@ def vectors(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(vecs, pa.binary())], ["vec_id", "node", "vec"])
 
     picked = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
-    return picked.mapInArrow(pack, "vec_id long, node binary, vec binary").withColumn("width", F.lit(4 if kind == "float" else 8))
+    return map_batches(picked, pack, "vec_id long, node binary, vec binary").withColumn("width", F.lit(4 if kind == "float" else 8))
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -249,8 +249,7 @@ def near_vectors(rows: DataFrame, similarity: float = SIMILARITY, recall: float
         "vector-nodes",
     )
     index = fit(nodes, width, similarity, recall)
-    placed = nodes.select("node", "vec", "copies").mapInArrow(
-        _placer(index, width), "node binary, vec binary, copies long, cell long, visits array<long>"
+    placed = map_batches(nodes.select("node", "vec", "copies"), _placer(index, width), "node binary, vec binary, copies long, cell long, visits array<long>"
     )
     placed = materialize(placed, "placed")
     members = placed.groupBy("cell").agg(F.ceil(F.count("*") / MEMBER_BLOCK).alias("n_members"))
@@ -273,7 +272,7 @@ def near_vectors(rows: DataFrame, similarity: float = SIMILARITY, recall: float
         come.select(task, F.lit(True).alias("visitor"), *keep, none)
     )
     tasks = tasks.repartition("task").sortWithinPartitions("task")
-    verified = materialize(tasks.mapInArrow(_verifier(similarity, width), "node binary, links long, root binary"), "vector-links")
+    verified = materialize(map_batches(tasks, _verifier(similarity, width), "node binary, links long, root binary"), "vector-links")
     linked = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.select("node", "copies", "first_id").join(linked, "node", "left").join(links, "node", "left")

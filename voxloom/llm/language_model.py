@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import LAST, chunks, pack_sorted, read_chunk, unpack_sorted
-from .common import bucketed, groups, words_of
+from .common import bucketed, groups, map_batches, words_of
 
 ORDER = 3
 BACKOFF = 0.4
@@ -178,8 +178,8 @@ def backoff_scores(
     total, bucket_bits = size["words"] or 0, max(0, (max(1, (size["n"] or 0) // bucket_bytes) - 1).bit_length())
     bits = min(64, 24 + int(total).bit_length())
     cols = ["chunk", "keys", "ends", "data"]
-    sent = packed.select(*cols).mapInArrow(_send(order, bits, bucket_bits), "bucket int, chunk long, names binary, counts binary")
-    answers = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count, "chunk long, bucket int, counts binary")
+    sent = map_batches(packed.select(*cols), _send(order, bits, bucket_bits), "bucket int, chunk long, names binary, counts binary")
+    answers = map_batches(sent.repartition("bucket").sortWithinPartitions("bucket"), _count, "chunk long, bucket int, counts binary")
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts")).alias("answers"))
     told = packed.select(*cols).hint("merge").join(answers, "chunk", "left")
-    return told.mapInArrow(_score(order, bits, total, backoff, least_count), "doc_id long, n_words long, log10_score double")
+    return map_batches(told, _score(order, bits, total, backoff, least_count), "doc_id long, n_words long, log10_score double")

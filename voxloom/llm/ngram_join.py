@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bitmap, groups, lookup, materialize, slices, words_of
+from .common import by_bitmap, groups, lookup, map_batches, materialize, slices, words_of
 from .graph import components, forest, grown
 
 WORDS = 5
@@ -153,7 +153,7 @@ def signatures(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARI
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(sign, "doc_id long, node binary, size long, sketch binary, paths array<array<long>>")
+    return map_batches(rows, sign, "doc_id long, node binary, size long, sketch binary, paths array<array<long>>")
 
 
 def _similar(sketches: np.ndarray, sizes: np.ndarray, i: int, others: np.ndarray, similarity: float) -> np.ndarray:
@@ -224,7 +224,7 @@ def candidate_groups(nodes: DataFrame, similarity: float = SIMILARITY, small: in
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / small))
     tasks = _in_blocks(members, F.col("bucket").cast("string"), n_blocks).select("node", "task")
     tasks = tasks.hint("merge").join(nodes.select("node", "size", "sketch"), "node")
-    edges = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_bucket_edges(similarity), "a binary, b binary")
+    edges = map_batches(tasks.repartition("task").sortWithinPartitions("task"), _bucket_edges(similarity), "a binary, b binary")
     return components(edges)
 
 
@@ -325,7 +325,7 @@ def classes(
     texts = by_bitmap(texts, "id", tasks.select("first_id")).where("_maybe")
     tasks = tasks.hint("merge").join(texts, tasks["first_id"].eqNullSafe(texts["id"]))
     tasks = tasks.select("task", "lo", "hi", "own", "node", "copies", "text").repartition("task").sortWithinPartitions("task")
-    verified = materialize(tasks.mapInArrow(_exact(words, similarity), "node binary, links long, root binary"), "verified")
+    verified = materialize(map_batches(tasks, _exact(words, similarity), "node binary, links long, root binary"), "verified")
     linked = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     known = (

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import map_batches, materialize, slices
 
 #: Bound of the training sample: documents, half of them of each label if there are as many.
 TRAIN_ROWS = 3000
@@ -211,7 +211,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(part, pa.binary())], ["label", "chunks"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    found = own.select("label", "text").mapInArrow(cut, "label int, chunks binary").limit(2 * rows).collect()
+    found = map_batches(own.select("label", "text"), cut, "label int, chunks binary").limit(2 * rows).collect()
     found = sorted((r["label"], bytes(r["chunks"])) for r in found)
     size = LAGS + 2 * BLOCK + STEP
     return [np.frombuffer(c, np.uint8).reshape(-1, size) for _, c in found], np.array([y for y, _ in found], np.int64)
@@ -258,7 +258,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id")) == 0).alias("held_out"), "text")
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    return map_batches(rows, score, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def without_rejected(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -269,4 +269,4 @@ def without_rejected(docs: DataFrame, labels: DataFrame, threshold: float = THRE
         for batch in batches:
             yield batch.filter(pa.array(_scores(model, batch) >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_batches(docs, keep, docs.schema)

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import map_batches, materialize, slices
 
 END_ID = 2
 SHARD_TOKENS = 1 << 19
@@ -357,7 +357,7 @@ def token_shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens:
     key = [F.col("doc_id").asc_nulls_last(), F.col("salt")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("salt"))
     rows = rows.repartitionByRange(*key).sortWithinPartitions(*key).select("doc_id", "text")
-    return materialize(rows.mapInArrow(write, "part int, shard int, n_tokens long, data binary"), "token-shards")
+    return materialize(map_batches(rows, write, "part int, shard int, n_tokens long, data binary"), "token-shards")
 
 
 def _documents(batches):
@@ -390,8 +390,7 @@ def read_back(shards: DataFrame) -> DataFrame:
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
     own = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")
     starts = sizes.withColumn("own", own).join(parts, "part").select("part", "shard", (F.col("part_start") + F.col("own")).alias("base"))
-    found = shards.select("part", "shard", "data").mapInArrow(
-        _documents, "part int, shard int, doc_id long, begin long, n_tokens long, ids_crc32 long"
+    found = map_batches(shards.select("part", "shard", "data"), _documents, "part int, shard int, doc_id long, begin long, n_tokens long, ids_crc32 long"
     )
     return found.join(starts, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
 
