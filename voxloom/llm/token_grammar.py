@@ -29,22 +29,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, slices
+from .common import map_batches, materialize
 
 END_ID = 2
-SHARD_TOKENS = 1 << 19
+SHARD_TOKENS = 1 << 18
 ROUNDS = 8
 #: A pair is frequent from this count on; a round makes so many rules at most.
 LEAST_COUNT = 12
 MOST_RULES = 1 << 14
 #: Rounds end when the next can't shorten the shard by this share.
 LEAST_GAIN = 0.08
-SLOT_BITS = 19
+SLOT_BITS = 18
 STRIDE = 1024
 #: Text that is encoded at a time.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 16 << 20
+#: A word, signs or digits, and the same behind a line end.
+PARTS = r"^(?P<a>\pL+)(?P<b>[^\pL\s']*)(?:\n(?P<c>\pL+)(?P<d>[^\pL\s']*))?$"
 #: Pieces of text whose ids a worker remembers.
-MOST_PIECES = 600_000
+MOST_PIECES = 1_000_000
 MAGIC, VERSION = b"VLRP", 1
 _HEADER = struct.Struct("<4sHHIIIIIIIII")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -205,8 +207,10 @@ class Encoder:
     This vocabulary's splitting never joins what stands before a single space
     and what follows it if neither side is white space, so the ids of a text are
     those of its pieces, and pieces recur: each different one of a batch is
-    looked up once, and encoded only if it is new. A text with any other white
-    space beside a space is encoded as a whole.
+    looked up once, and encoded only if it is new. Nor does it join letters with
+    what follows them, other than behind an apostrophe, or a line end with the
+    word behind it, so new pieces are put together of their parts. A text with
+    any other white space beside a space is encoded as a whole.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -222,8 +226,10 @@ class Encoder:
         self.n_bytes = np.zeros(self.base, np.int64)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.n_bytes[i] = len(token)
-        #: Signs that are a token of their own behind letters, with their ids.
-        self.tails = dict(zip(",.", self._encode([",", "."]), strict=True))
+        (self.line,) = self._encode(["\n"])
+        #: Ids of words that begin a line, and of signs and digits behind letters.
+        self.words: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
         #: Ids of pieces that follow a space; empty for those that need their neighbours.
         self.pieces: dict[str, bytes] = {}
 
@@ -231,22 +237,34 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that follow a space, encoded as one text and cut by the bytes that each id stands for."""
+    def _encode_behind(self, sign: str, words: list[str]) -> list[bytes]:
+        """Ids of what follows a sign of one byte, encoded as one text and cut by the bytes that each id stands for.
+
+        Behind a space its ids include the space, behind a line end they don't.
+        """
         out: list[bytes] = []
-        for i in range(0, len(pieces), 4000):
-            some = pieces[i : i + 4000]
-            text = " " + " ".join(some)
+        skip = 0 if sign == " " else self.width
+        for i in range(0, len(words), 4000):
+            some = words[i : i + 4000]
+            text = sign + sign.join(some)
             if any(x in text for x in self.special):
-                out += self._encode([" " + p for p in some])
+                out += [x[skip:] for x in self._encode([sign + w for w in some])]
                 continue
             (ids,) = self._encode([text])
-            sizes = list(map(len, some)) if text.isascii() else [len(p.encode()) for p in some]
+            sizes = list(map(len, some)) if text.isascii() else [len(w.encode()) for w in some]
             ends = np.cumsum(self.n_bytes[np.frombuffer(ids, self.kind)])
             cuts = ((np.searchsorted(ends, np.cumsum(np.array(sizes) + 1)) + 1) * self.width).tolist()
-            out += [ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+            out += [ids[a + skip : b] for a, b in zip([0, *cuts], cuts, strict=False)]
         return out
 
+    def _learn(self, known: dict[str, bytes], words, encode) -> dict[str, bytes]:
+        """Ids of words: those known, and those that encode gives for the others, which are kept while there is room."""
+        todo = [w for w in words if w not in known]
+        new = dict(zip(todo, encode(todo), strict=True))
+        if len(known) < MOST_PIECES:
+            known.update(new)
+        return new
+
     def _look_up(self, pieces: list[str]) -> list[bytes]:
         """Ids of different pieces that follow a space; empty for those that need their neighbours."""
         found = list(map(self.pieces.get, pieces))
@@ -254,18 +272,33 @@ class Encoder:
         if not new:
             return found
         own = pa.array([pieces[i] for i in new], pa.string())
-        plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(own), own), pc.not_equal(own, ""))
-        last, stem = pc.utf8_slice_codeunits(own, -1), pc.utf8_slice_codeunits(own, 0, -1)
-        signed = pc.and_(pc.is_in(last, pa.array(list(self.tails))), pc.utf8_is_alpha(stem))
-        stems = pc.if_else(plain, pc.if_else(signed, stem, own), None).to_pylist()
-        tails = pc.if_else(signed, last, None).to_pylist()
-        todo = [s for s in dict.fromkeys(stems) if s is not None and s not in self.pieces]
-        ids = dict(zip(todo, self._encode_pieces(todo), strict=True))
-        for i, s, tail in zip(new, stems, tails, strict=True):
-            found[i] = b"" if s is None else (ids.get(s) or self.pieces[s]) + (self.tails[tail] if tail else b"")
+        letters = pc.utf8_is_alpha(own).to_numpy(zero_copy_only=False)
+        alone = [new[k] for k in np.flatnonzero(letters).tolist()]
+        mixed = np.flatnonzero(~letters)
+        new, own = [new[k] for k in mixed.tolist()], own.take(pa.array(mixed))
+        plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(own), own), pc.not_equal(own, "")).to_pylist()
+        parts = pc.extract_regex(own, PARTS)
+        word, sign, next_word, next_sign = (pc.struct_field(parts, k).to_pylist() for k in "abcd")
+        stem = [(w or pieces[i]) if p else None for i, w, p in zip(new, word, plain, strict=True)]
+        todo = dict.fromkeys([*(pieces[i] for i in alone), *(w for w in stem if w is not None)])
+        stems = self._learn(self.pieces, todo, lambda w: self._encode_behind(" ", w))
+        for i in alone:
+            found[i] = stems[pieces[i]]
+        words = self._learn(self.words, dict.fromkeys(w for w in next_word if w), lambda w: self._encode_behind("\n", w))
+        signs = self._learn(self.signs, dict.fromkeys(x for own in (sign, next_sign) for x in own if x), self._encode)
+        whole = {}
+        for i, w, b, c, d in zip(new, stem, sign, next_word, next_sign, strict=True):
+            ids = b"" if w is None else stems.get(w) or self.pieces[w]
+            if w is not None:
+                if b:
+                    ids += signs.get(b) or self.signs[b]
+                if c:
+                    ids += self.line + (words.get(c) or self.words[c])
+                if d:
+                    ids += signs.get(d) or self.signs[d]
+            found[i] = whole[pieces[i]] = ids
         if len(self.pieces) < MOST_PIECES:
-            self.pieces.update(ids)
-            self.pieces.update((pieces[i], found[i]) for i in new)
+            self.pieces.update(whole)
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -274,14 +307,15 @@ class Encoder:
         counts = pc.list_value_length(split).to_numpy().astype(np.int64)
         ends = np.cumsum(counts)
         first = ends - counts
-        coded = split.flatten().dictionary_encode()
+        pieces = split.flatten()
+        coded = pieces.dictionary_encode()
         entry = coded.indices.to_numpy().astype(np.int64)
         ids = self._look_up(coded.dictionary.to_pylist())
         n_pieces = len(ids)
         sizes = np.fromiter(map(len, ids), np.int64, n_pieces)
         odd = sizes[entry] == 0
         odd[first] = False
-        heads = split.flatten().take(pa.array(first)).to_pylist()
+        heads = pieces.take(pa.array(first)).to_pylist()
         whole = np.concatenate(([0], np.cumsum(odd)))
         whole = whole[ends] > whole[first]
         for i in np.flatnonzero(counts > 1).tolist():
@@ -301,7 +335,8 @@ class Encoder:
         inside[at_end] = False
         places[inside] = entry
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
-        out = np.frombuffer(b"".join(map(ids.__getitem__, places.tolist())), self.kind)
+        joined = pa.array(ids, pa.large_binary()).take(pa.array(places))
+        out = np.frombuffer(joined.buffers()[2] or b"", self.kind, int(sizes[places].sum()))
         return out, np.diff(np.cumsum(sizes[places])[at_end], prepend=0)
 
 
@@ -312,6 +347,23 @@ def encoder(path: str, end_id: int) -> Encoder:
     return Encoder(path, end_id)
 
 
+def _together(batches, limit: int):
+    """(ids, texts) of batches, null texts as empty ones, as many as have about `limit` bytes."""
+    ids: list = []
+    texts: list[pa.Array] = []
+    size = 0
+    for batch in batches:
+        for own in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+            ids += own.column(0).to_pylist()
+            texts.append(pc.fill_null(own.column(1), "").cast(pa.large_string()))
+            size += pc.sum(pc.binary_length(texts[-1])).as_py() or 0
+            if size >= limit:
+                yield ids, pa.concat_arrays(texts)
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, pa.concat_arrays(texts)
+
+
 def token_shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """part, shard, n_tokens, data: all documents as shards, in order of part, shard and place; written to the shared folder.
 
@@ -335,22 +387,20 @@ def token_shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens:
                 ["part", "shard", "n_tokens", "data"],
             )
 
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), pc.fill_null(batch.column(1), "")
-            for at, some in slices(batch, limit=TEXT_BYTES):
-                found, n = encode(texts.slice(at, len(some)))
-                done = np.concatenate(([0], np.cumsum(n)))
-                a = 0
-                while a < len(n):  # up to the document that fills the shard
-                    b = min(len(n), int(np.searchsorted(done, done[a] + shard_tokens - size)))
-                    doc_ids += ids[at + a : at + b]
-                    lengths += n[a:b].tolist()
-                    held.append(found[done[a] : done[b]])
-                    size += int(done[b] - done[a])
-                    a = b
-                    if size >= shard_tokens:
-                        yield row()
-                        doc_ids, lengths, held, size, number = [], [], [], 0, number + 1
+        for ids, texts in _together(batches, TEXT_BYTES):
+            found, n = encode(texts)
+            done = np.concatenate(([0], np.cumsum(n)))
+            a = 0
+            while a < len(n):  # up to the document that fills the shard
+                b = min(len(n), int(np.searchsorted(done, done[a] + shard_tokens - size)))
+                doc_ids += ids[a:b]
+                lengths += n[a:b].tolist()
+                held.append(found[done[a] : done[b]])
+                size += int(done[b] - done[a])
+                a = b
+                if size >= shard_tokens:
+                    yield row()
+                    doc_ids, lengths, held, size, number = [], [], [], 0, number + 1
         if lengths:
             yield row()
 
