@@ -10,7 +10,7 @@ from voxloom.llm import token_grammar as G
 from .conftest import text
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-ODD = ["", " ", "a  b", " a", "a ", "a\n b \n", "tab\t x", "  q　 z", "été 12 34a!! **", "it's 'll a", "x <|endoftext|> y", "a<|endoftext|>b c", "\x1c \x1c a", "end. of, it", "x.y ,z", "日本 語、 b", "  a", "a" * 5000 + " b"]
+ODD = ["", " ", "a  b", " a", "a ", "a\n b \n", "tab\t x", "  q　 z", "été 12 34a!! **", "it's 'll a", "x <|endoftext|> y", "a<|endoftext|>b c", "\x1c \x1c a", "end. of, it", "b one.\nTwo, x three\nfour's y don't.\nIt b12\nc5,; d.\n\nE f\n\n", "x a\u0301b. Ünï***\nÉé!! \u2028z q\u2028w r", "x.y ,z", "日本 語、 b", "  a", "a" * 5000 + " b"]
 
 
 @pytest.fixture(scope="module")
