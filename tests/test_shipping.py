@@ -1,0 +1,23 @@
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parent.parent
+CODE = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+from voxloom.config import MERGE
+from voxloom.operators import inference
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+rows = spark.createDataFrame([("r", [0.5] * 2400, 2400, None)], "recording_id string, samples array<float>, sample_rate int, error string")
+assert [(r["s"], r["e"]) for r in inference.voice_activity(rows, inference.EnergyVoiceActivity).collect()] == [(0.0, 1.0)]
+"""
+
+
+def test_executors_need_no_path_to_the_package(tmp_path):
+    """The package is on the driver's path alone."""
+    import os
+
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", CODE], check=True, cwd=tmp_path, env=env)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from voxloom import schemas
 from voxloom.config import Settings
+from voxloom.shipping import ship
 
 
 class VoiceActivity(Protocol):
@@ -71,6 +72,7 @@ def voice_activity(waveforms: DataFrame, load: Callable[[], VoiceActivity]) -> D
             kinds = pa.schema([("recording_id", pa.string()), ("seq", pa.int64()), ("s", pa.float64()), ("e", pa.float64())])
             yield pa.RecordBatch.from_pylist(rows, kinds)
 
+    ship(waveforms.sparkSession)
     return waveforms.where("error is null").select("recording_id", "samples", "sample_rate").mapInArrow(run, schemas.INTERVAL)
 
 
@@ -95,6 +97,7 @@ def transcribed(slices: DataFrame, load: Callable[[], Transcriber], settings: Se
             out = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array([texts[i] for i in keep], pa.string())], [*out.schema.names, "text"])
 
+    ship(slices.sparkSession)
     return slices.mapInArrow(run, f"{_ddl(slices)}, text string")
 
 
@@ -140,6 +143,7 @@ def encoded(segments: DataFrame, load: Callable[[], FeatureEncoder], settings: S
                 ]
                 yield pa.RecordBatch.from_pylist(out, kinds)
 
+    ship(rows.sparkSession)
     return rows.mapInArrow(
         run,
         "segment_id string, recording_id string, token_ids array<bigint>, encoder_features array<array<float>>, positions array<bigint>, duration_frames bigint",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from voxloom.config import Settings
 from voxloom.functions.durations import megabytes
 from voxloom.functions.names import basename, recording_of_file
+from voxloom.shipping import ship
 
 MANIFESTS = ("manifest.json", "manifest_train.json", "manifest_val.json")
 
@@ -78,4 +79,5 @@ def execute(plan: DataFrame, copy: Callable[[dict], str | None], settings: Setti
             kinds = [("key", pa.string()), ("status", pa.string()), ("attempts", pa.int32()), ("error", pa.string())]
             yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
 
+    ship(plan.sparkSession)
     return plan.mapInArrow(run, "key string, status string, attempts int, error string")

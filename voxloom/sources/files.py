@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxloom import schemas
 from voxloom.functions.names import basename, recording_of_file
+from voxloom.shipping import ship
 
 
 def _binary(spark: SparkSession, path: str, pattern: str) -> DataFrame | None:
@@ -64,4 +65,5 @@ def decoded(rows: DataFrame, decode: Callable[[bytes], tuple], sample_rate: int)
                     [k for k, _ in kinds],
                 )
 
+    ship(rows.sparkSession)
     return rows.select("recording_id", "content").mapInArrow(run, schemas.WAVEFORM)
