@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.shipping import ship
+
 #: Words of a text: runs of ASCII digits, lower-case letters and everything beyond ASCII.
 WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -80,6 +82,7 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
     Workers live on from task to task and two or more share an executor's memory
     with its JVM. The session's batch size is lowered if it is larger.
     """
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
