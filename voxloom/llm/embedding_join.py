@@ -249,8 +249,8 @@ def near_vectors(rows: DataFrame, similarity: float = SIMILARITY, recall: float
         "vector-nodes",
     )
     index = fit(nodes, width, similarity, recall)
-    placed = map_batches(nodes.select("node", "vec", "copies"), _placer(index, width), "node binary, vec binary, copies long, cell long, visits array<long>"
-    )
+    kinds = "node binary, vec binary, copies long, cell long, visits array<long>"
+    placed = map_batches(nodes.select("node", "vec", "copies"), _placer(index, width), kinds)
     placed = materialize(placed, "placed")
     members = placed.groupBy("cell").agg(F.ceil(F.count("*") / MEMBER_BLOCK).alias("n_members"))
     visitors = placed.select(F.explode("visits").alias("to")).groupBy("to").agg(F.ceil(F.count("*") / VISITOR_BLOCK).alias("n_visitors"))

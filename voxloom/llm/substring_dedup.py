@@ -417,17 +417,16 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CH
     packed = bucketed(chunks(firsts.select(F.col("key").alias("doc_id"), "text"), chunk_bytes), "chunk", "chunks")
     size = packed.agg(F.sum("size").alias("n")).first()["n"] or 0
     bits = max(0, (max(1, size // bucket_bytes) - 1).bit_length())
-    names = map_batches(packed.select("chunk", "keys", "ends", "data"), _send_names(length, bits), "bucket int, chunk long, names binary, several binary"
-    )
+    chunk = packed.select("chunk", "keys", "ends", "data")
+    names = map_batches(chunk, _send_names(length, bits), "bucket int, chunk long, names binary, several binary")
     answers = map_batches(names.repartition("bucket").sortWithinPartitions("bucket"), _answer, "chunk long, bucket int, bits binary")
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
-    told = packed.select("chunk", "keys", "ends", "data").hint("merge").join(answers, "chunk")
-    sent = map_batches(told, _send_runs(length, bits),
-        "bucket int, chunk long, names binary, keys binary, sizes binary, data binary, refs binary, places binary, settled binary",
-    )
+    told = chunk.hint("merge").join(answers, "chunk")
+    kinds = "bucket int, chunk long, names binary, keys binary, sizes binary, data binary, refs binary, places binary, settled binary"
+    sent = map_batches(told, _send_runs(length, bits), kinds)
     removed = map_batches(sent.repartition("bucket").sortWithinPartitions("bucket"), _settle(length), "chunk long, removed binary")
     removed = removed.groupBy("chunk").agg(F.collect_list("removed").alias("removed"))
-    whole = packed.select("chunk", "keys", "ends", "data").hint("merge").join(removed, "chunk", "left")
+    whole = chunk.hint("merge").join(removed, "chunk", "left")
     cut = map_batches(whole, _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     n, gone = F.octet_length("text").cast("long"), F.octet_length("text") >= length
     return cut.unionByName(

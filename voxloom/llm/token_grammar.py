@@ -64,13 +64,14 @@ def pair_rules(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray
         if len(seq) < 2:
             break
         key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        slot = (key * _MUL >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        slot[last[:-1]] = 1 << SLOT_BITS
-        pair = np.zeros((1 << SLOT_BITS) + 1, np.uint64)
+        slot = (key * _MUL >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+        nowhere = 1 << SLOT_BITS
+        slot[np.flatnonzero(last[:-1])] = nowhere
+        pair = np.zeros(nowhere + 1, np.uint64)
         pair[slot] = key
-        own = pair[slot] == key
-        count = np.bincount(slot[own], minlength=(1 << SLOT_BITS) + 1)
-        count[1 << SLOT_BITS] = 0
+        slot[np.flatnonzero(pair[slot] != key)] = nowhere
+        count = np.bincount(slot, minlength=nowhere + 1)
+        count[nowhere] = 0
         by = np.flatnonzero(count >= LEAST_COUNT)
         by = by[np.argsort(-count[by], kind="stable")][:MOST_RULES]
         if count[by].sum() < LEAST_GAIN * len(seq):
@@ -80,7 +81,7 @@ def pair_rules(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray
         rank[by] = 2 * np.arange(len(by), dtype=np.int32)
         turn = np.full(len(seq) + 1, none, np.int32)
         mid = turn[1:-1]
-        mid[own] = rank[slot[own]]
+        np.take(rank, slot, out=mid)
         mid[1::2] |= 1
         take = (mid < turn[:-2]) & (mid < none)
         take[:-1] &= mid[:-1] < mid[1:]
@@ -158,23 +159,21 @@ class Shard:
         return out
 
     def _expand_rules(self) -> None:
-        """Where the expansion of each symbol begins in one row of ids; those of a round are made of earlier ones."""
-        self.first = np.concatenate((np.arange(self.base), np.zeros(len(self.left), np.int64)))
-        flat, done = [np.arange(self.base, dtype=np.uint32)], 0
-        row = flat[0]
+        """The expansions of all symbols in one row of ids, in order; those of a round are made of earlier ones."""
+        row, done = np.arange(self.base, dtype=np.uint32), 0
         for n in self.rounds.tolist():
             pairs = np.stack([self.left[done : done + n], self.right[done : done + n]], 1).ravel()
-            new = self._spread(row, pairs)
-            size = self.size[self.base + done : self.base + done + n]
-            self.first[self.base + done : self.base + done + n] = len(row) + np.cumsum(size) - size
-            row = np.concatenate((row, new))
+            row = np.concatenate((row, self._spread(row, pairs)))
             done += n
         self.row = row
 
     def _spread(self, row: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        n = self.size[symbols]
-        ends = np.cumsum(n)
-        return row[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[symbols] - (ends - n), n)]
+        """What symbols expand to, from the expansions of all symbols up to the largest in a row."""
+        n = int(symbols.max(initial=0)) + 1
+        ends = pa.py_buffer(4 * np.concatenate(([0], np.cumsum(self.size[:n]))))
+        all_ = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, ends, pa.py_buffer(row)])
+        found = all_.take(pa.array(symbols))
+        return np.frombuffer(found.buffers()[2] or b"", np.uint32, int(self.size[symbols].sum()))
 
     def symbols(self, start: int, stop: int) -> np.ndarray:
         """Symbols start to stop; start is a multiple of 8."""
@@ -440,8 +439,8 @@ def read_back(shards: DataFrame) -> DataFrame:
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
     own = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")
     starts = sizes.withColumn("own", own).join(parts, "part").select("part", "shard", (F.col("part_start") + F.col("own")).alias("base"))
-    found = map_batches(shards.select("part", "shard", "data"), _documents, "part int, shard int, doc_id long, begin long, n_tokens long, ids_crc32 long"
-    )
+    kinds = "part int, shard int, doc_id long, begin long, n_tokens long, ids_crc32 long"
+    found = map_batches(shards.select("part", "shard", "data"), _documents, kinds)
     return found.join(starts, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
 
 
