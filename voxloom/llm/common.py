@@ -142,7 +142,8 @@ def lookup(rows: DataFrame, key: str, found: DataFrame, weight: str) -> DataFram
 
     found has one row for each key and how many of rows hold it (`weight`). Keys
     of more than HOT_SHARE of the total go by broadcast, 1 / HOT_SHARE of them
-    at most; all others by shuffle, where rows of hot keys are spread at random.
+    at most; all others by shuffle, where rows of hot keys and of none are spread
+    at random.
     """
     fields = F.struct(*[c for c in found.columns if c not in (key, weight)])
     total = found.agg(F.sum(weight).alias("_total"))
@@ -150,12 +151,13 @@ def lookup(rows: DataFrame, key: str, found: DataFrame, weight: str) -> DataFram
         F.col(key).alias("_key"), fields.alias("_found"), (F.col(weight) > F.col("_total") * HOT_SHARE).alias("_is_hot")
     )
     hot = split.where("_is_hot").select(F.col("_key").alias("_hot_key"), F.col("_found").alias("_hot"), F.lit(True).alias("_is_hot"))
-    cold = split.where("not _is_hot").select("_key", F.col("_found").alias("_cold"), F.lit(0).cast("long").alias("_salt"))
+    cold = split.where("not _is_hot").select(F.col("_key").cast("string").alias("_cold_key"), F.col("_found").alias("_cold"))
     names = rows.columns
-    seen = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_own_salt", F.when(F.col("_is_hot"), 1 + F.pmod(F.xxhash64(*names), F.lit(1 << 40))).otherwise(F.lit(0).cast("long"))
-    )
-    both = seen.join(cold.hint("merge"), (F.col(key) == F.col("_key")) & (F.col("_own_salt") == F.col("_salt")), "left")
+    seen = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    # a row of a hot key has a key of its own here: a mere second column would be folded into a condition
+    spread = F.concat(F.lit("\u0000hot"), F.hex(F.xxhash64(*names)))
+    seen = seen.withColumn("_own_key", F.when(F.col("_is_hot") | F.col(key).isNull(), spread).otherwise(F.col(key).cast("string")))
+    both = seen.join(cold.hint("merge"), F.col("_own_key") == F.col("_cold_key"), "left")
     return both.select(*names, F.coalesce("_hot", "_cold").alias("_found"))
 
 
