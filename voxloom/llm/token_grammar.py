@@ -37,8 +37,8 @@ ROUNDS = 8
 #: A pair is frequent from this count on; a round makes so many rules at most.
 LEAST_COUNT = 12
 MOST_RULES = 1 << 14
-#: Rounds end when the next can't shorten the shard by this share.
-LEAST_GAIN = 0.08
+#: Rounds end after one that shortens the shard by less than this share.
+LEAST_GAIN = 0.2
 SLOT_BITS = 18
 STRIDE = 1024
 #: Text that is encoded at a time.
@@ -74,7 +74,7 @@ def pair_rules(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray
         count[nowhere] = 0
         by = np.flatnonzero(count >= LEAST_COUNT)
         by = by[np.argsort(-count[by], kind="stable")][:MOST_RULES]
-        if count[by].sum() < LEAST_GAIN * len(seq):
+        if not len(by):
             break
         none = np.int32(2 * len(by) + 2)
         rank = np.full(len(count), none, np.int32)
@@ -96,7 +96,10 @@ def pair_rules(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray
         last[chosen] = last[chosen + 1]
         keep = np.ones(len(seq), bool)
         keep[chosen + 1] = False
+        before = len(seq)
         seq, last = seq[keep], last[keep]
+        if before - len(seq) < LEAST_GAIN * before:
+            break
     return seq, rounds
 
 
@@ -256,13 +259,26 @@ class Encoder:
             out += [ids[a + skip : b] for a, b in zip([0, *cuts], cuts, strict=False)]
         return out
 
-    def _learn(self, known: dict[str, bytes], words, encode) -> dict[str, bytes]:
-        """Ids of words: those known, and those that encode gives for the others, which are kept while there is room."""
-        todo = [w for w in words if w not in known]
-        new = dict(zip(todo, encode(todo), strict=True))
-        if len(known) < MOST_PIECES:
-            known.update(new)
-        return new
+    def _signs(self, column) -> list[bytes]:
+        """Ids of signs and digits behind letters, row by row; there are few different ones."""
+        coded = column.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        todo = [x for x in different if x and x not in self.signs]
+        new = dict(zip(todo, self._encode(todo), strict=True))
+        if len(self.signs) < MOST_PIECES:
+            self.signs.update(new)
+        ids = [(new.get(x) or self.signs[x]) if x else b"" for x in different]
+        return [ids[k] if k >= 0 else b"" for k in pc.fill_null(coded.indices, -1).to_pylist()]
+
+    def _words(self, column) -> dict[str, bytes]:
+        """Ids of words that begin a line."""
+        words = [w for w in pc.unique(column).to_pylist() if w]
+        new = [w for w in words if w not in self.words]
+        ids = dict(zip(new, self._encode_behind("\n", new), strict=True))
+        found = {w: ids.get(w) or self.words[w] for w in words}
+        if len(self.words) < MOST_PIECES:
+            self.words.update(ids)
+        return found
 
     def _look_up(self, pieces: list[str]) -> list[bytes]:
         """Ids of different pieces that follow a space; empty for those that need their neighbours."""
@@ -271,33 +287,27 @@ class Encoder:
         if not new:
             return found
         own = pa.array([pieces[i] for i in new], pa.string())
-        letters = pc.utf8_is_alpha(own).to_numpy(zero_copy_only=False)
-        alone = [new[k] for k in np.flatnonzero(letters).tolist()]
-        mixed = np.flatnonzero(~letters)
-        new, own = [new[k] for k in mixed.tolist()], own.take(pa.array(mixed))
-        plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(own), own), pc.not_equal(own, "")).to_pylist()
-        parts = pc.extract_regex(own, PARTS)
-        word, sign, next_word, next_sign = (pc.struct_field(parts, k).to_pylist() for k in "abcd")
-        stem = [(w or pieces[i]) if p else None for i, w, p in zip(new, word, plain, strict=True)]
-        todo = dict.fromkeys([*(pieces[i] for i in alone), *(w for w in stem if w is not None)])
-        stems = self._learn(self.pieces, todo, lambda w: self._encode_behind(" ", w))
-        for i in alone:
-            found[i] = stems[pieces[i]]
-        words = self._learn(self.words, dict.fromkeys(w for w in next_word if w), lambda w: self._encode_behind("\n", w))
-        signs = self._learn(self.signs, dict.fromkeys(x for own in (sign, next_sign) for x in own if x), self._encode)
-        whole = {}
-        for i, w, b, c, d in zip(new, stem, sign, next_word, next_sign, strict=True):
-            ids = b"" if w is None else stems.get(w) or self.pieces[w]
-            if w is not None:
-                if b:
-                    ids += signs.get(b) or self.signs[b]
-                if c:
-                    ids += self.line + (words.get(c) or self.words[c])
-                if d:
-                    ids += signs.get(d) or self.signs[d]
-            found[i] = whole[pieces[i]] = ids
+        letters = pc.utf8_is_alpha(own)
+        alone = own.filter(letters).to_pylist()
+        mixed = own.filter(pc.invert(letters))
+        parts = pc.extract_regex(mixed, PARTS)
+        word, sign, next_word, next_sign = (pc.struct_field(parts, k) for k in "abcd")
+        plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(mixed), mixed), pc.not_equal(mixed, ""))
+        stem = pc.if_else(plain, pc.coalesce(word, mixed), None).to_pylist()
+        have = dict.fromkeys(alone)
+        todo = alone + [w for w in dict.fromkeys(stem) if w is not None and w not in have and w not in self.pieces]
+        stems = dict(zip(todo, self._encode_behind(" ", todo), strict=True))
+        words = self._words(next_word)
+        made = []
+        for w, b, c, d in zip(stem, self._signs(sign), next_word.to_pylist(), self._signs(next_sign), strict=True):
+            ids = b"" if w is None else (stems.get(w) or self.pieces[w]) + b
+            made.append(ids + self.line + words[c] + d if c and ids else ids)
         if len(self.pieces) < MOST_PIECES:
-            self.pieces.update(whole)
+            self.pieces.update(stems)
+            self.pieces.update(zip(mixed.to_pylist(), made, strict=True))
+        singles, others = iter(stems.values()), iter(made)
+        for i, single in zip(new, letters.to_pylist(), strict=True):
+            found[i] = next(singles) if single else next(others)
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
