@@ -70,6 +70,32 @@ def test_rules_stay_within_documents_and_compress():
         G.Shard(b"nope" + bytes(60))
 
 
+def frequent(seq):
+    """Pairs that occur twice without overlap."""
+    places = {}
+    for i, pair in enumerate(zip(seq, seq[1:], strict=False)):
+        if not places.get(pair) or places[pair][-1] < i - 1:
+            places.setdefault(pair, []).append(i)
+    return [p for p, at in places.items() if len(at) > 1]
+
+
+@pytest.mark.parametrize("kind", ["copies", "runs", "few"])
+def test_rounds_end_when_no_pair_is_frequent(kind):
+    rng = np.random.default_rng(3)
+    alone = rng.permutation(np.arange(10, 40_010))
+    passage = rng.integers(10, 40_010, 1000)
+    ids = {
+        "copies": np.concatenate([x for k in range(20) for x in (alone[2000 * k : 2000 * k + 2000], passage)]),
+        "runs": np.repeat(rng.integers(0, 40, 3000), rng.integers(1, 9, 3000)),
+        "few": rng.integers(0, 3, 5000),
+    }[kind].astype(np.uint32)
+    shard = G.Shard(G.write_shard([1], np.array([len(ids)]), ids, 50_000))
+    assert (shard.ids() == ids).all()
+    assert not frequent(shard.symbols(0, shard.n_symbols).tolist())
+    if kind == "copies":
+        assert shard.n_symbols < 40_000 + 20 * 20
+
+
 def test_equals_the_library(documents, tokenizer):
     rows = [(i * 7 % 101, text(i, 5 + i * 3)) for i in range(101)] + [(1000 + i, t) for i, t in enumerate(ODD)] + [(2000, None), (None, "null id")]
     start, want = 0, []

@@ -2,8 +2,9 @@
 
 Documents in order of doc_id are encoded, each ends with an end id, and about
 SHARD_TOKENS ids make a shard. In a shard the most frequent pairs of neighbours
-become nonterminals, round after round, in each round all frequent pairs at once
-where they don't overlap; pairs never reach over the end of a document. A shard
+become nonterminals, round after round until none occurs twice, in each round
+all frequent pairs at once where they don't overlap; pairs never reach over the
+end of a document. A shard
 stores its rules with the length that each expands to, the remaining symbols,
 and the number of ids before every STRIDE-th symbol, so any range of ids is
 decoded without the rest.
@@ -33,13 +34,9 @@ from .common import map_batches, materialize
 
 END_ID = 2
 SHARD_TOKENS = 1 << 18
-ROUNDS = 8
-#: A pair is frequent from this count on; a round makes so many rules at most.
-LEAST_COUNT = 12
+#: A pair is frequent from this count on; a round makes so many rules at most, the others wait for the next.
+LEAST_COUNT = 2
 MOST_RULES = 1 << 14
-#: Rounds end after one that shortens the shard by less than this share.
-LEAST_GAIN = 0.2
-SLOT_BITS = 18
 STRIDE = 1024
 #: Text that is encoded at a time.
 TEXT_BYTES = 16 << 20
@@ -55,52 +52,81 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 def pair_rules(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """What is left of the ids, and (n, 2) pairs for each round; the i-th rule of all is symbol base + i.
 
-    last marks the ids after which no pair may reach. Of pairs that share a slot
-    of a hash table one is counted, exactly; the others wait for a later round.
-    Of neighbouring pairs that overlap the more frequent one is replaced.
+    last marks the ids after which no pair may reach. Rounds end when no pair
+    occurs LEAST_COUNT times without overlap. Of pairs that share a slot of a
+    hash table one is counted, exactly; the others wait for a later round, which
+    deals slots anew. Of neighbouring pairs that overlap the more frequent one is
+    replaced. A pair that isn't frequent never becomes so, nor does one of symbols
+    that end and begin with its two, so its place is closed, and symbols between
+    closed places are not looked at again.
     """
-    seq, rounds, n_rules = ids.astype(np.uint32), [], 0
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
+    full, rounds, n_rules, turn = ids.astype(np.uint32), [], 0, 0
+    gone = np.zeros(len(full), bool)
+    seq, at, last = full.copy(), np.arange(len(full)), last.copy()
+    last[-1:] = True
+    while True:
+        lone = last.copy()
+        lone[1:] &= last[:-1]
+        if lone.any():
+            seq, at, last = seq[~lone], at[~lone], last[~lone]
+        if not len(seq):
             break
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        slot = (key * _MUL >> np.uint64(64 - SLOT_BITS)).view(np.int64)
-        nowhere = 1 << SLOT_BITS
-        slot[np.flatnonzero(last[:-1])] = nowhere
+        open_ = np.flatnonzero(~last)
+        left, right = seq[open_], seq[open_ + 1]
+        # in a run of one symbol every other pair counts
+        same = np.flatnonzero(left == right)
+        skip = np.zeros(0, np.int64)
+        if len(same):
+            begins = np.flatnonzero(np.diff(open_[same], prepend=-2) != 1)
+            place = np.arange(len(same)) - np.repeat(begins, np.diff(begins, append=len(same)))
+            skip = same[place & 1 == 1]
+        bits = len(open_).bit_length() + 1
+        key = (left.astype(np.uint64) << np.uint64(32)) | right
+        slot = ((key ^ np.uint64(turn)) * _MUL >> np.uint64(64 - bits)).view(np.int64)
+        turn += 0x5851F42D
+        nowhere = 1 << bits
         pair = np.zeros(nowhere + 1, np.uint64)
         pair[slot] = key
-        slot[np.flatnonzero(pair[slot] != key)] = nowhere
+        lost = pair[slot] != key
+        lost[skip] = True
+        slot[lost] = nowhere
         count = np.bincount(slot, minlength=nowhere + 1)
+        count[nowhere] = LEAST_COUNT
+        rare = count[slot] < LEAST_COUNT
         count[nowhere] = 0
         by = np.flatnonzero(count >= LEAST_COUNT)
         by = by[np.argsort(-count[by], kind="stable")][:MOST_RULES]
-        if not len(by):
-            break
-        none = np.int32(2 * len(by) + 2)
-        rank = np.full(len(count), none, np.int32)
-        rank[by] = 2 * np.arange(len(by), dtype=np.int32)
-        turn = np.full(len(seq) + 1, none, np.int32)
-        mid = turn[1:-1]
-        np.take(rank, slot, out=mid)
-        mid[1::2] |= 1
-        take = (mid < turn[:-2]) & (mid < none)
-        take[:-1] &= mid[:-1] < mid[1:]
+        none = np.int32(len(by))
+        rank = np.full(nowhere + 1, none, np.int32)
+        rank[by] = np.arange(len(by), dtype=np.int32)
+        # a skipped place has the pair of the place before it, so it closes with that one
+        rare[skip] = rare[skip - 1]
+        mid = np.full(len(seq) + 1, none, np.int32)
+        mid[open_ + 1] = rank[slot]
+        own = mid[1:]
+        take = own < mid[:-1]
+        take[:-1] &= own[:-1] < own[1:]
         chosen = np.flatnonzero(take)
-        index = mid[chosen] >> 1
+        index = own[chosen]
         times = np.bincount(index, minlength=len(by))
-        used = np.flatnonzero(times)
-        number = np.cumsum(times > 0) - 1
-        rounds.append((pair[by[used]][:, None] >> np.array([32, 0], np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-        seq[chosen] = (base + n_rules + number[index]).astype(np.uint32)
+        # what overlaps left to fewer waits
+        worth = times >= LEAST_COUNT
+        chosen = chosen[worth[index]]
+        last[open_[rare]] = True
+        if not len(chosen):
+            continue
+        number = np.cumsum(worth) - 1
+        used = pair[by[worth]]
+        rounds.append((used[:, None] >> np.array([32, 0], np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        seq[chosen] = (base + n_rules + number[own[chosen]]).astype(np.uint32)
         n_rules += len(used)
+        full[at[chosen]] = seq[chosen]
+        gone[at[chosen + 1]] = True
         last[chosen] = last[chosen + 1]
         keep = np.ones(len(seq), bool)
         keep[chosen + 1] = False
-        before = len(seq)
-        seq, last = seq[keep], last[keep]
-        if before - len(seq) < LEAST_GAIN * before:
-            break
-    return seq, rounds
+        seq, at, last = seq[keep], at[keep], last[keep]
+    return full[~gone], rounds
 
 
 def write_shard(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, base: int) -> bytes:
@@ -154,6 +180,7 @@ class Shard:
         self.directory = self._next(np.uint32, n_dir).astype(np.int64)
         self.symbols_at, self.high = self._at, high
         self.size = np.concatenate((np.ones(self.base, np.int64), size.astype(np.int64)))
+        self.ends = np.concatenate(([0], np.cumsum(self.size)))
         self._expand_rules()
 
     def _next(self, kind, n: int) -> np.ndarray:
@@ -163,18 +190,19 @@ class Shard:
 
     def _expand_rules(self) -> None:
         """The expansions of all symbols in one row of ids, in order; those of a round are made of earlier ones."""
-        row, done = np.arange(self.base, dtype=np.uint32), 0
+        row, done = np.empty(int(self.ends[-1]), np.uint32), 0
+        row[: self.base] = np.arange(self.base, dtype=np.uint32)
         for n in self.rounds.tolist():
             pairs = np.stack([self.left[done : done + n], self.right[done : done + n]], 1).ravel()
-            row = np.concatenate((row, self._spread(row, pairs)))
+            a, b = self.ends[[self.base + done, self.base + done + n]]
+            row[a:b] = self._spread(row, pairs)
             done += n
         self.row = row
 
     def _spread(self, row: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """What symbols expand to, from the expansions of all symbols up to the largest in a row."""
-        n = int(symbols.max(initial=0)) + 1
-        ends = pa.py_buffer(4 * np.concatenate(([0], np.cumsum(self.size[:n]))))
-        all_ = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, ends, pa.py_buffer(row)])
+        ends = pa.py_buffer(4 * self.ends)
+        all_ = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.size), [None, ends, pa.py_buffer(row)])
         found = all_.take(pa.array(symbols))
         return np.frombuffer(found.buffers()[2] or b"", np.uint32, int(self.size[symbols].sum()))
 
