@@ -82,6 +82,30 @@ def test_one_document_of_each_class_stays(documents):
     assert ids[None] == 2  # one of them is in a class without an id
 
 
+def kept_rows(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+
+
+def test_rows_of_one_id_with_different_texts_are_decided_each(documents):
+    a, b, c, d = (text(900 + k, 60) for k in range(4))
+    rows = [(3, b), (7, a), (7, b), (7, c), (7, c), (7, c.upper()), (8, a), (9, ""), (9, ""), (9, "..."), (9, d)]
+    want = [(3, b), (7, a), (7, min(c, c.upper())), (9, ""), (9, "..."), (9, d)]
+    for _ in range(2):
+        assert kept_rows(N.one_of_each(documents(rows, clashing=True))) == sorted(want, key=repr)
+
+
+def test_a_hot_id_of_different_texts_stays_whole(documents):
+    rows = [(1, text(2000 + k, 40)) for k in range(40)] + [(10 + k, text(3000 + k, 40)) for k in range(20)] + [(90, text(2003, 40)), (91, text(3001, 40))]
+    assert kept_rows(N.one_of_each(documents(rows))) == sorted(rows[:-2], key=repr)
+
+
+def test_null_ids_are_decided_each(documents):
+    a, b, c = (text(950 + k, 60) for k in range(3))
+    rows = [(1, a), (None, a), (None, a), (None, b), (None, b), (None, b.title()), (None, c), (None, None), (None, " .")]
+    want = [(1, a), (None, min(b, b.title())), (None, c), (None, None), (None, " .")]
+    assert kept_rows(N.one_of_each(documents(rows))) == sorted(want, key=repr)
+
+
 def test_recall_of_the_runs():
     """Pairs of similarity 0.8 meet in a bucket of the first level as often as the runs promise."""
     rng = np.random.default_rng(5)

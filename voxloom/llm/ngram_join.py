@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import by_bitmap, groups, lookup, map_batches, materialize, slices, words_of
 from .graph import components, forest, grown
@@ -301,6 +302,20 @@ def classes(
     kept. Repeated rows are copies of each other and all of one id are kept. An
     empty table gives no rows. Other columns of docs are not looked at.
     """
+    found = _classes(docs, words, similarity, recall, small, block_shingles, block_nodes)
+    return found.select("doc_id", "class_id", "n_links", F.col("class_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def _classes(
+    docs: DataFrame,
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+    small: int = SMALL,
+    block_shingles: int = BLOCK_SHINGLES,
+    block_nodes: int = BLOCK_NODES,
+) -> DataFrame:
+    """doc_id, node, class_id, n_links, chosen of each row: chosen is true for one node of each class, the smallest that has its class_id."""
     signed = materialize(signatures(docs, words, similarity, recall), "signatures")
     nodes = materialize(
         signed.where("node is not null")
@@ -336,34 +351,73 @@ def classes(
             "node", "copies", "first_id", F.coalesce("component", "node").alias("component"), F.coalesce("links", F.lit(0)).alias("links")
         )
     )
-    firsts = known.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    known = materialize(known.join(firsts.hint("merge"), "component").select("node", "copies", "class_id", "links", (F.col("copies") - 1).alias("others")), "classes")
+    first = F.min(F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("class_id"), F.col("node").alias("chosen")))
+    firsts = known.groupBy("component").agg(first.alias("first")).select("component", "first.class_id", "first.chosen")
+    own = known.join(firsts.hint("merge"), "component").select(
+        "node", "copies", "class_id", "links", (F.col("copies") - 1).alias("others"), (F.col("node") == F.col("chosen")).alias("chosen")
+    )
+    known = materialize(own, "classes")
     found = lookup(signed.select("doc_id", "node"), "node", known, "copies")
-    class_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("_found.class_id"))
     return found.select(
         "doc_id",
-        class_id.alias("class_id"),
+        "node",
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("_found.class_id")).alias("class_id"),
         F.coalesce(F.col("_found.links") + F.col("_found.others"), F.lit(0)).cast("long").alias("n_links"),
-        class_id.eqNullSafe(F.col("doc_id")).alias("kept"),
+        F.coalesce("_found.chosen", F.lit(False)).alias("chosen"),
     )
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """The rows of docs that stay: one document of each class, with all columns of docs.
+#: A text with a word; see words_of.
+WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
+
+
+def _with_node(words: int):
+    """Adds to each row the node of its text, or a digest of a text without words, and whether it has words."""
 
-    Of the rows of an id that stays, one stays; rows without an id stay if one of
-    them is in a class that has no document with an id. Only rows that may go
-    are moved.
+    def add(batches):
+        for batch in batches:
+            for at, texts in slices(batch, "_text"):
+                sets = shingle_sets(texts, words)
+                nodes = [node_of(s) if len(s) else hashlib.blake2b(t, digest_size=16).digest() for s, t in zip(sets, texts, strict=True)]
+                own = batch.slice(at, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array(nodes, pa.binary()), pa.array([len(s) > 0 for s in sets])],
+                    [*own.schema.names, "_node", "_words"],
+                )
+
+    return add
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """The rows of docs that stay: one row of each class, with all columns of docs.
+
+    It is a row of the class's smallest id (of none if no row has one); of
+    several such rows those of the smallest shingle-set hash, of these the
+    smallest text. So an id stays more than once if its rows are of different
+    classes. Texts without words are copies of nothing: one of each id and text
+    stays, and all without an id. Only rows that may go are moved; rows whose id
+    alone doesn't tell are decided by id and shingle-set hash.
     """
-    found = materialize(classes(docs, words, similarity, recall), "near")
-    by_id = found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
-    odd = materialize(by_id.where("not kept or n > 1").select(F.col("doc_id").alias("_odd"), "kept"), "near-odd")
+    found = materialize(_classes(docs, words, similarity, recall), "near")
+    wins = F.col("chosen") & F.col("class_id").eqNullSafe(F.col("doc_id"))
+    by_id = found.groupBy("doc_id").agg(F.bool_or(wins | F.col("node").isNull()).alias("kept"), F.count("*").alias("n"))
+    odd = by_id.where("not kept or n > 1 or doc_id is null")
+    odd = materialize(odd.select(F.col("doc_id").alias("_odd"), F.expr("n > 1 or doc_id is null").alias("many"), "n"), "near-odd")
     names = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*names).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
     rows = by_bitmap(rows, "_id", odd.select("_odd"))
-    told = rows.where("_maybe").join(odd.hint("merge"), F.col("_id").eqNullSafe(F.col("_odd")), "left")
-    stay = rows.where("not _maybe").select("_row").unionByName(told.where("kept is null or _id is null and kept").select("_row"))
-    once = told.where("kept and _id is not null")
-    if odd.where("kept and _odd is not null").head(1):
-        once = once.dropDuplicates(["_id"])
-    return stay.unionByName(once.select("_row")).select("_row.*")
+    told = lookup(rows.where("_maybe").drop("_maybe"), "_id", odd.where("_odd is not null").withColumnRenamed("_odd", "_id"), "n")
+    stay = rows.where("not _maybe").select("_row").unionByName(told.where("_id is not null and _found is null").select("_row"))
+    if not odd.where("many").head(1):
+        return stay.select("_row.*")
+    unsure = told.where("_id is null or _found.many").withColumn("_text", F.col("_row.text").cast("binary"))
+    has_words = F.coalesce(F.col("_row.text").cast("string").rlike(WORD), F.lit(False))
+    stay = stay.unionByName(unsure.where(F.col("_id").isNull() & ~has_words).select("_row"))
+    unsure = unsure.where(F.col("_id").isNotNull() | has_words).select("_row", "_id", "_text")
+    kinds = T.StructType([*unsure.schema.fields, T.StructField("_node", T.BinaryType()), T.StructField("_words", T.BooleanType())])
+    order = F.struct("_text", F.xxhash64(F.to_json("_row")))
+    each = map_batches(unsure, _with_node(words), kinds).groupBy("_id", "_node", "_words").agg(F.min_by("_row", order).alias("_row"))
+    winners = found.where(wins).select(F.col("doc_id").alias("_win_id"), F.col("node").alias("_win")).distinct()
+    same = F.col("_words") & (F.col("_node") == F.col("_win")) & F.col("_id").eqNullSafe(F.col("_win_id"))
+    each = each.join(winners.hint("merge"), same, "left").where("not _words or _win is not null")
+    return stay.unionByName(each.select("_row")).select("_row.*")
