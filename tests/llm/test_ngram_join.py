@@ -118,6 +118,26 @@ def test_recall_of_the_runs():
     assert met / n >= N.RECALL
 
 
+def test_recall_at_the_deepest_level():
+    """Pairs of similarity 0.8, one within the other, so that they share one child of a common bucket on average and no more."""
+    rng, runs, met, n = np.random.default_rng(8), N.runs_for(), 0, 2000
+    for _ in range(n):
+        longer = np.sort(rng.integers(0, 2**63, 100).astype(np.uint64))
+        shorter = np.sort(rng.permutation(longer)[:80])
+        a, b = ({p[2] for p in paths} - {None} for paths in N.chosen_paths([shorter, longer], runs, 0.8, N.DEPTH))
+        met += bool(a & b)
+    print(f"{runs} runs: {n - met} of {n} pairs missed at level 3")
+    assert met / n >= 0.999
+
+
+def test_links_where_all_buckets_are_large(documents):
+    rows = []
+    for k in range(400):
+        words = text(5000 + k, 104, 10**6).split()
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:84]))]
+    assert Counter(r["n_links"] for r in N.classes(documents(rows), small=1).collect()) == {1: 800}
+
+
 def test_paths_deepen_together():
     same = np.sort(np.random.default_rng(1).integers(0, 2**63, 50).astype(np.uint64))
     a, b = N.chosen_paths([same, same], 10, 0.8, 3)

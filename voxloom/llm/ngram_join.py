@@ -28,7 +28,8 @@ from .graph import components, forest, grown
 
 WORDS = 5
 SIMILARITY = 0.8
-RECALL = 0.99
+#: Of pairs whose common buckets are all large, so that they meet at the last level only.
+RECALL = 0.9999
 DEPTH = 3
 SMALL = 3000
 #: Shingles and nodes of a verification block; a larger set is a block of its own.
