@@ -117,3 +117,19 @@ def test_order_is_the_multi_sequence():
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0, 2.0])], [(5, [1.0, 2.0]), (3, [2.0, 4.0])]])
 def test_small_tables(spark, rows):
     assert got(E.near_vectors(frame(spark, rows))) == brute(rows)
+
+
+def test_recall_of_the_whole_query_on_a_grid(spark):
+    """Pairs just over the limit, in a table large enough for a grid with the settings as they are."""
+    rng = np.random.default_rng(4)
+    base, x = rng.standard_normal((8000, 32)), E.unit(rng.standard_normal((1000, 32)))
+    noise = rng.standard_normal(x.shape)
+    noise = E.unit(noise - (noise * x).sum(1, keepdims=True) * x)
+    all_ = np.concatenate((base, x, 0.9005 * x + np.sqrt(1 - 0.9005**2) * noise)).astype(np.float32)
+    u = E.unit(all_)
+    want = sum(int((u[a : a + 1000] @ u.T >= 0.9).sum()) for a in range(0, len(u), 1000)) - len(u)
+    df = frame(spark, [(i, v.tolist()) for i, v in enumerate(all_)])
+    (index,) = E.fit(E.vectors(df).select("node", "vec"), 4).values()
+    assert len(index.codes[0]) * len(index.codes[1]) == 9 and index.visits < 9
+    found = sum(r["n_links"] for r in E.near_vectors(df).select("n_links").collect())
+    assert want >= 2000 and want >= found >= E.RECALL * want
