@@ -67,3 +67,27 @@ def test_domains(spark, host, domain, suffix):
 
     r = spark.range(1).select(U.domain_of(F.lit(host)).alias("d"), U.suffix_of(F.lit(host)).alias("s")).first()
     assert (r["d"], r["s"]) == (domain, suffix)
+
+
+def test_hosts_under_a_given_suffix_are_not_pooled(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    bad = [(i, "http://bad.co.kr/x") for i in range(60)]
+    good = [(100 + i, f"http://h{i}.com/x") for i in range(60)]
+    pages = spark.createDataFrame([*bad, *good, (500, "http://clean.co.kr/x"), (501, "http://sub.bad.co.kr/x")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0, 0) for i, _ in bad] + [(i, 1, 0) for i, _ in good], "doc_id long, quality int, toxic int")
+    suffixes = spark.createDataFrame([("com",), ("Co.KR",), (None,), ("kr",), ("s3.amazonaws.com",)], "suffix string")
+
+    def means(**more):
+        return {r["page_id"]: r["mean"] for r in U.judge(pages, labels, **more).where("page_id >= 500").collect()}
+
+    pooled, apart = means(), means(suffixes=suffixes)
+    assert pooled[500] == pooled[501]  # without the table co.kr is one domain
+    assert apart[500] < apart[501]
+    r = spark.range(1).select(U.domain_of(F.lit("a.b.s3.amazonaws.com"), U.long_suffixes_of(suffixes)).alias("d")).first()
+    assert r["d"] == "b.s3.amazonaws.com"
+    with pytest.raises(ValueError, match="written out"):
+        U.long_suffixes_of(spark.createDataFrame([("*.ck",)], "suffix string"))
+    monkeypatch.setattr(U, "MOST_SUFFIXES", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        U.long_suffixes_of(suffixes)

@@ -22,8 +22,10 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-#: Public suffixes of two labels; all others have one.
+#: Public suffixes of several labels where no table of them is given; all others have one.
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "co.jp", "co.nz", "com.br", "co.in", "com.cn", "com.mx")
+#: Rows that a table of suffixes may have; the public suffix list has about 10,000.
+MOST_SUFFIXES = 50_000
 LIMIT = 0.5
 Z = 1.645
 #: Least and largest intra-class correlation; the prior's strength is 1 / it - 1.
@@ -41,14 +43,37 @@ def path_of(url):
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
+def long_suffixes_of(table: DataFrame) -> tuple[str, ...]:
+    """Suffixes of several labels in a table's column `suffix`; rules for wildcards and exceptions are refused, as is a table too large."""
+    found = [r["suffix"] for r in table.select(F.translate("suffix", UPPER, LOWER).alias("suffix")).distinct().limit(MOST_SUFFIXES + 1).collect()]
+    if len(found) > MOST_SUFFIXES:
+        raise ValueError(f"more than {MOST_SUFFIXES} suffixes")
+    if any(x and (x.startswith("!") or "*" in x) for x in found):
+        raise ValueError("wildcards and exceptions must be written out")
+    return tuple(sorted(x for x in found if x and "." in x))
+
+
+def _labels(host, long_suffixes):
+    """Number of labels of the longest suffix that the host ends with."""
+    out = F.lit(1)
+    for n in sorted({x.count(".") + 1 for x in long_suffixes}):
+        own = [x for x in long_suffixes if x.count(".") + 1 == n]
+        out = F.when(F.substring_index(host, ".", -n).isin(*own), n).otherwise(out)
+    return out
+
+
+def _last(host, n):
+    """The last n labels of the host."""
+    parts = F.split(host, r"\.")
+    return F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - n + 1), n), ".")
+
+
 def suffix_of(host, long_suffixes=LONG_SUFFIXES):
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*long_suffixes), two).otherwise(F.substring_index(host, ".", -1))
+    return _last(host, _labels(host, long_suffixes))
 
 
 def domain_of(host, long_suffixes=LONG_SUFFIXES):
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*long_suffixes), F.substring_index(host, ".", -3)).otherwise(two)
+    return _last(host, _labels(host, long_suffixes) + 1)
 
 
 def rule_of(host, path, rules=RULES):
@@ -80,12 +105,12 @@ def _shrunk(children: DataFrame, parents: DataFrame | None, key: str, up: str) -
     return both.withColumn("mean", (F.col("bad") + F.col("k") * F.col("m")) / (F.col("n") + F.col("k")))
 
 
-def reputation(hosts: DataFrame, limit: float = LIMIT, z: float = Z) -> DataFrame:
+def reputation(hosts: DataFrame, limit: float = LIMIT, z: float = Z, long_suffixes=LONG_SUFFIXES) -> DataFrame:
     """host, mean, lower, blocked, n_pages, from host, n_pages, n, bad: one row for each host.
 
     Hosts without labelled pages have their domain's posterior as a prior alone.
     """
-    named = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    named = hosts.withColumns({"domain": domain_of(F.col("host"), long_suffixes), "suffix": suffix_of(F.col("host"), long_suffixes)})
     domains = named.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = materialize(_shrunk(suffixes, None, "suffix", ""), "suffixes")
@@ -96,14 +121,19 @@ def reputation(hosts: DataFrame, limit: float = LIMIT, z: float = Z) -> DataFram
     return found.select("host", "n_pages", "mean", lower.alias("lower"), (lower > limit).alias("blocked"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT, z: float = Z) -> DataFrame:
+def judge(
+    pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT, z: float = Z, suffixes: DataFrame | None = None
+) -> DataFrame:
     """page_id, host, path, rule, verdict, mean, lower: a row for each row of pages.
 
     A page's outcome is bad if the label of its id says quality 0 or toxic 1;
     rows without an id or without either label say nothing, repeated labels
     count as often as they stand. A null url has an empty host and path. Hot
-    hosts are looked up by broadcast, all others by shuffle.
+    hosts are looked up by broadcast, all others by shuffle. suffixes (column
+    `suffix`, MOST_SUFFIXES rows at most) are the public suffixes; without it
+    those of several labels are LONG_SUFFIXES.
     """
+    long_suffixes = LONG_SUFFIXES if suffixes is None else long_suffixes_of(suffixes)
     url = F.col("url").cast("string")
     seen = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     outcome = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(
@@ -121,7 +151,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT
         .groupBy("host")
         .agg(F.count("*").alias("n_pages"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     )
-    known = materialize(reputation(materialize(hosts, "hosts"), limit, z), "reputation")
+    known = materialize(reputation(materialize(hosts, "hosts"), limit, z, long_suffixes), "reputation")
     told_by = F.col("_found")
     verdict, rule = rule_of(F.col("host"), F.col("path"), rules)
     return lookup(seen, "host", known, "n_pages").select(
