@@ -77,3 +77,15 @@ def test_versions_of_the_map(spark):
     maps.write(1, first)
     maps.write(2, S.rebalance(first, {i: i for i in range(64)}, 5))
     assert maps.as_list(1) == first and maps.as_list(2) != first and len(maps.as_list(2)) == 64
+
+
+def test_a_stored_map_is_edited_and_applied(spark, documents):
+    maps = S.SlotMaps(spark)
+    docs = documents([(i, "x" * (i % 50)) for i in range(600)])
+    first = {r["doc_id"]: r for r in S.assign(docs, 4, 64, maps).collect()}
+    second = {r["doc_id"]: r for r in S.assign(docs, 5, 64, maps).collect()}
+    assert {r["map_version"] for r in first.values()} == {1} and {r["map_version"] for r in second.values()} == {2}
+    assert all(r["shard"] in (first[i]["shard"], 4) and r["virtual_slot"] == first[i]["virtual_slot"] for i, r in second.items())
+    assert {r["shard"] for r in second.values()} == set(range(5))
+    third = {r["doc_id"]: r["shard"] for r in S.with_shards(docs, 5, 64, maps).collect()}
+    assert maps.latest() == 3 and third == {i: maps.as_list(3)[first[i]["virtual_slot"]] for i in first}

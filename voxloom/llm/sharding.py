@@ -111,6 +111,29 @@ class SlotMaps:
     def as_list(self, version: int) -> list[int]:
         return [r["shard"] for r in self.read(version).orderBy("slot").collect()]
 
+    def latest(self) -> int:
+        """The largest version that was written to its end; 0 if there is none."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        store = path.getFileSystem(context._jsc.hadoopConfiguration())
+        if not store.exists(path):
+            return 0
+        names = [f.getPath() for f in store.listStatus(path) if f.getPath().getName().startswith("version=")]
+        done = [p for p in names if store.exists(context._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return max((int(p.getName().partition("=")[2]) for p in done), default=0)
+
+    def next(self, weights: dict[int, int], n_shards: int, n_slots: int = N_SLOTS) -> int:
+        """Writes the next version and returns its number: the latest one rebalanced, or a first map."""
+        last = self.latest()
+        if last:
+            old = self.as_list(last)
+            if len(old) != n_slots:
+                raise ValueError(f"the stored map has {len(old)} slots, not {n_slots}")
+            self.write(last + 1, rebalance(old, weights, n_shards))
+        else:
+            self.write(1, deal(weights, n_shards, n_slots))
+        return last + 1
+
 
 def assign(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, maps: SlotMaps | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version: a row for each row of docs.
@@ -118,7 +141,8 @@ def assign(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, maps: Sl
     `slot` is the record's place in its shard: 0, 1, 2, ... in order of bucket,
     doc_id, size and checksum. Law: bytes. A null text counts as empty, a null
     doc_id is a key like any other, repeated rows each get a place of their own,
-    an empty table gives no rows; other columns of docs are not looked at.
+    an empty table gives no rows; other columns of docs are not looked at. If
+    maps has a version already, it is rebalanced and written as the next.
     """
     spark = docs.sparkSession
     text = F.col("text")
@@ -132,11 +156,11 @@ def assign(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, maps: Sl
         "slotted",
     )
     maps = maps or SlotMaps(spark)
-    maps.write(1, deal(slot_weights(records), n_shards, n_slots))
+    version = maps.next(slot_weights(records), n_shards, n_slots)
     n = records.count()
     n_buckets = max(8, -(-n // (n_shards * ROWS_PER_BUCKET)))
     placed = records.join(
-        F.broadcast(maps.read(1).withColumnRenamed("slot", "virtual_slot")), "virtual_slot"
+        F.broadcast(maps.read(version).withColumnRenamed("slot", "virtual_slot")), "virtual_slot"
     ).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n_buckets)))
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = counts.select(
@@ -157,7 +181,7 @@ def assign(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, maps: Sl
             (F.col("before") + F.col("nth") - 1).cast("long").alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
             "virtual_slot",
-            F.lit(1).alias("map_version"),
+            F.lit(version).alias("map_version"),
         )
     )
 
@@ -165,13 +189,14 @@ def assign(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, maps: Sl
 def with_shards(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, maps: SlotMaps | None = None) -> DataFrame:
     """docs with `shard` and `virtual_slot`; the rows themselves, not joined by id, so repeated and null ids are safe.
 
-    Columns of docs with these names (in any case) are replaced.
+    Columns of docs with these names (in any case) are replaced. If maps has a
+    version already, it is rebalanced and written as the next.
     """
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c.lower() not in ("shard", "virtual_slot")]
     slotted = docs.select(*keep, slot_of(F.col("doc_id"), n_slots).alias("virtual_slot"))
     maps = maps or SlotMaps(spark)
     sizes = docs.select(slot_of(F.col("doc_id"), n_slots).alias("virtual_slot"), record_size(F.col("text")).alias("size"))
-    maps.write(1, deal(slot_weights(sizes), n_shards, n_slots))
-    slot_map = maps.read(1).withColumnRenamed("slot", "virtual_slot")
+    version = maps.next(slot_weights(sizes), n_shards, n_slots)
+    slot_map = maps.read(version).withColumnRenamed("slot", "virtual_slot")
     return slotted.join(F.broadcast(slot_map), "virtual_slot").select(*keep, "shard", "virtual_slot")
