@@ -117,3 +117,33 @@ def test_filter_keeps_rows_whole(spark, documents):
 def test_fold(spark):
     got = spark.range(50).select("id", Q.fold(F.col("id")).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in got)
+
+
+def naive_score(net, t):
+    """The network window by window and byte by byte, for one text."""
+    if isinstance(net, Q.Constant):
+        return net.score
+    p, n = net.p, max(2, -(-(len(t) + Q.LAGS) // Q.BLOCK))
+    data = b"\0" * Q.LAGS + t + b"\0" * (n * Q.BLOCK + Q.STEP - len(t))
+    blocks = []
+    for b in range(n):
+        at, peaks = Q.LAGS + b * Q.BLOCK, []
+        for s in range(0, Q.BLOCK, Q.STEP):
+            if b < n - 1 or s + Q.WIDTH <= Q.BLOCK:
+                window = [p["embed"][c] for c in data[at + s : at + s + Q.WIDTH]]
+                peaks.append(np.concatenate(window) @ p["filters"] + p["bias"])
+        own = [i for i in range(at, at + Q.BLOCK) if data[i]]
+        same = [any(data[i - 3 : i + 1] == data[i - 3 - lag : i + 1 - lag] for lag in range(2, Q.LAGS - Q.ECHO + 2)) for i in own]
+        blocks.append(np.append(np.maximum(np.max(peaks, axis=0), 0), sum(same) / (len(own) + 8)))
+    logits = []
+    for one, two in zip(blocks, blocks[1:], strict=False):
+        hid = np.maximum(np.maximum(one, two) @ p["hidden"] + p["hidden_bias"], 0)
+        logits.append(float(hid @ p["out"] + p["out_bias"][0]))
+    z = np.array([np.mean(logits), max(logits), min(logits), 1]) @ p["pool"]
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def test_scores_equal_a_naive_forward_pass():
+    net = Q.ByteNet().train([Q.chunks_of(t.encode()) for _, t in ROWS[:60]], np.array([y for _, y, _ in LABELS[:60]]))
+    texts = [t.encode() for _, t in ROWS[:12]] + [b"", b"x", b"ab" * 200, b"\xc3\xa9" * 90, text(1, 700).encode(), *[bytes([97 + k % 26 for k in range(n)]) for n in (95, 96, 97, 127, 128, 129, 224, 225, 256)]]
+    assert np.allclose(net.scores(texts), [naive_score(net, t) for t in texts], atol=1e-4)
