@@ -18,9 +18,9 @@ def brute(docs, items):
     windows = []
     for name, t in items:
         w = words(t)
-        if w and name is not None:
+        if w:
             n = min(13, len(w))
-            windows += [(str(name), w[i : i + n]) for i in range(len(w) - n + 1)]
+            windows += [(name, w[i : i + n]) for i in range(len(w) - n + 1)]
     out = []
     for i, t in docs:
         w, hit, names = words(t), set(), set()
@@ -28,7 +28,7 @@ def brute(docs, items):
             for p in range(len(w) - len(x) + 1):
                 if w[p : p + len(x)] == x:
                     hit.update(range(p, p + len(x)))
-                    names.add(name)
+                    names |= {str(name)} - {"None"}
         digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
         out.append((i, len(w), len(hit), len(names), digest, bool(hit) and 20 * len(hit) >= len(w)))
     return sorted(out, key=repr)
@@ -94,12 +94,27 @@ def test_a_lower_containment_finds_changed_windows(spark, documents):
     assert {r["doc_id"]: r["n_hit"] for r in D.contamination(docs, items, containment=0.8).collect()} == {1: 13, 2: 0}
 
 
-def test_filter_keeps_rows_whole(spark, documents):
+def test_filter_keeps_clean_rows_whole(spark, documents):
     docs = documents(DOCS, clashing=True)
     out = D.without_contaminated(docs, items_of(spark, ITEMS))
     assert out.columns == docs.columns
-    clean = [i for i, *_, bad in brute(DOCS, ITEMS) if not bad]
-    assert sorted((r["doc_id"] for r in out.collect()), key=repr) == sorted(clean, key=repr)
+    hits = brute(DOCS, ITEMS)
+    assert sorted((r["doc_id"] for r in out.collect()), key=repr) == sorted((r[0] for r in hits if not r[2]), key=repr)
+    out = D.without_contaminated(docs, items_of(spark, ITEMS), least_share=0.05)
+    assert sorted((r["doc_id"] for r in out.collect()), key=repr) == sorted((r[0] for r in hits if not r[5]), key=repr)
+
+
+def test_a_passage_in_a_long_document_is_enough(spark, documents):
+    """One window among 5,000 words, far below a share of 5 %."""
+    passage = " ".join(text(1, 30).split()[8:21])
+    docs = documents([(1, f"{text(20, 2500)} {passage} {text(21, 2500)}"), (2, text(22, 5000)), (3, text(1, 12)), (4, None), (4, "")])
+    assert sorted(r["doc_id"] for r in D.without_contaminated(docs, items_of(spark, [(1, text(1, 30))])).collect()) == [2, 3, 4, 4]
+
+
+def test_filter_without_items_or_documents(spark, documents):
+    none = items_of(spark, ITEMS).limit(0)
+    assert D.without_contaminated(documents(DOCS), none).count() == len(DOCS)
+    assert D.without_contaminated(documents(DOCS).limit(0), items_of(spark, ITEMS)).count() == 0
 
 
 @pytest.mark.parametrize(("pairs", "n"), [([], 0), ([(0, 3), (2, 5)], 5), ([(0, 9), (1, 2), (9, 10)], 10), ([(4, 6), (0, 1)], 3)])

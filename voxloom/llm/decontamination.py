@@ -46,7 +46,7 @@ def _shingle_hashes(ids: np.ndarray, k: int) -> np.ndarray:
 class ItemBlock:
     """Windows and shingles of one block of items, and what finds them in texts."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int, shingle: int, containment: float):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int, shingle: int, containment: float):
         self.containment, self.vocabulary, self.names = containment, {}, []
         windows: dict[tuple[int, ...], set[int]] = {}
         for name, text in items:
@@ -165,10 +165,10 @@ def _counts(docs: DataFrame, block: ItemBlock) -> dict[tuple[int, int], int]:
 
 
 def _blocks(items: DataFrame, window: int, shingle: int, containment: float):
-    """Blocks of items with an id; a null text has no words. At least one block, which may be empty."""
+    """Blocks of items; a null text has no words. At least one block, which may be empty."""
     rows = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text"))
     held, size, any_yet = [], 0, False
-    for r in rows.where("item_id is not null and text is not null").orderBy("item_id", "text").toLocalIterator():
+    for r in rows.where("text is not null").orderBy("item_id", "text").toLocalIterator():
         text = bytes(r["text"])
         n = len(words_of(text))
         if held and size + n > BLOCK_WORDS:
@@ -205,7 +205,7 @@ def _matcher(block: ItemBlock, n: int):
                 cuts = np.searchsorted(found[:, 0], np.arange(len(texts) + 1))
                 for i in np.flatnonzero(np.diff(cuts)):
                     rows = found[cuts[i] : cuts[i + 1]]
-                    own = {block.names[x] for w in np.unique(rows[:, 3]) for x in block.windows[w][1]}
+                    own = {block.names[x] for w in np.unique(rows[:, 3]) for x in block.windows[w][1]} - {None}
                     spans[at + i] += np.ascontiguousarray(rows[:, 1:3]).tobytes()
                     items[at + i] = sorted(own.union(items[at + i]))
             columns = [*batch.columns[:n], pa.array(lengths), pa.array(spans, pa.binary()), pa.array(items, pa.list_(pa.string()))]
@@ -226,9 +226,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items: a row for each row of docs.
 
     Null and empty texts have no words and are clean; repeated rows each have
-    their row; items without words or id never occur, equal items with different
-    ids all do; with no items all documents are clean. Other columns of either
-    table are not looked at.
+    their row; items without words never occur, equal items with different ids
+    all do, and an item without an id hits words but isn't among the items
+    listed; with no items all documents are clean. Other columns of either table
+    are not looked at.
     """
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
 
@@ -254,8 +255,16 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     return map_batches(found, digest, schema)
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, containment: float = CONTAINMENT) -> DataFrame:
-    """The rows of docs that aren't contaminated, with all their columns."""
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, containment: float = CONTAINMENT, least_share: float = 0.0
+) -> DataFrame:
+    """The rows of docs that hold no window of any item, with all their columns.
+
+    With a least_share above 0 a document goes only if its hit words are at least
+    that share of its words. Null and empty texts stay, as do all documents if
+    there are no items; repeated rows fare alike, and ids aren't looked at, of
+    documents or of items.
+    """
     n = len(docs.columns)
 
     def keep(batches):
@@ -263,6 +272,6 @@ def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW
             n_words = batch.column(n).to_numpy()
             n_hit = np.array([covered(x) if x else 0 for x in batch.column(n + 1).to_pylist()], np.int64)
             clean = pa.RecordBatch.from_arrays(batch.columns[:n], batch.schema.names[:n])
-            yield clean.filter(pa.array(~((n_hit > 0) & (HIT_RATIO * n_hit >= n_words))))
+            yield clean.filter(pa.array(~((n_hit > 0) & (n_hit >= least_share * n_words))))
 
     return map_batches(matched(docs, items, window, shingle, containment), keep, docs.schema)

@@ -10,7 +10,7 @@ b as (
   select item_id::varchar item_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws
-  from benchmark where item_id is not null),
+  from benchmark),
 bl as (select item_id, ws, least(13, len(ws)) l from b where len(ws) > 0),
 bi as (select item_id, ws, l, unnest(range(1, len(ws) - l + 2)) i from bl),
 bw as (select distinct item_id, l, array_to_string(ws[i:i + l - 1], ' ') win from bi),
@@ -20,7 +20,7 @@ dw as (select rid, l, i, array_to_string(ws[i:i + l - 1], ' ') win from di),
 m as (select rid, item_id, dw.l, i from dw join bw on dw.l = bw.l and dw.win = bw.win),
 p as (select rid, unnest(range(i, i + l)) pos from (select distinct rid, l, i from m)),
 h as (select rid, count(distinct pos) n_hit from p group by rid),
-t as (select rid, list_sort(list(distinct item_id)) items from m group by rid)
+t as (select rid, list_sort(list(distinct item_id) filter (item_id is not null)) items from m group by rid)
 select doc_id, len(ws)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(len(items), 0)::bigint n_items,
        sha256(coalesce(array_to_string(items, ','), '')) items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) contaminated
