@@ -44,7 +44,7 @@ def test_words():
 
 def test_intermediates_go(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(C, "shared_dir", lambda s: f"file://{tmp_path}")
-    assert C.materialize(spark.range(5), "x").count() == C.bucketed(spark.range(5), "id", "y").count() == 5
+    assert C.materialize(spark.range(5), "x").count() == C.bucketed(spark.range(5), "id", "y", 3).count() == 5
     C.drop_intermediates(spark)
     assert not (tmp_path / "voxloom").exists()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("voxloom_")]
@@ -53,6 +53,7 @@ def test_intermediates_go(spark, tmp_path, monkeypatch):
 def test_own_folder_where_none_is_set():
     class Context:
         applicationId = "app"
+        master = "local[2]"
         made = None
 
         def setCheckpointDir(self, path):
@@ -66,3 +67,25 @@ def test_own_folder_where_none_is_set():
 
     one, two = C.shared_dir(Session), C.shared_dir(Session)
     assert one == two == Session.sparkContext.made and one.startswith("file://")
+    Session.sparkContext.master = "spark://elsewhere:7077"
+    with pytest.raises(ValueError, match="share"):
+        C.shared_dir(Session)
+
+
+def test_partitions_follow_stored_bytes(spark, tmp_path, monkeypatch):
+    spark.range(100_000).selectExpr("id", "uuid() t").write.parquet(f"{tmp_path}/t")
+    df, least = spark.read.parquet(f"{tmp_path}/t"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert C.n_partitions(df) == C.n_partitions(spark.createDataFrame([(1, "x")], "id long, t string").repartition(2)) == least
+    monkeypatch.setattr(C, "PARTITION_BYTES", 100_000)
+    stored = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert C.n_partitions(df) == -(-stored // 100_000) > least
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    df = spark.range(60, numPartitions=1).selectExpr("repeat('x', 500000) t")
+    found = [r["n"] for r in C.map_batches(df, sizes, "n long").collect()]
+    assert len(found) >= 7 and max(found) <= C.BATCH_BYTES + 600_000

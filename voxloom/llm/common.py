@@ -27,11 +27,13 @@ _OWN: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir.
 
-    Where it is unset (tests on one machine), a folder of our own is made and
-    becomes the checkpoint folder.
+    Where it is unset, a folder of our own is made and becomes the checkpoint
+    folder, but only for a local master: executors elsewhere couldn't reach it.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = "file://" + tempfile.mkdtemp(prefix="voxloom-")
@@ -52,11 +54,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """df written to the shared folder as a table in buckets of the key: joins on it move the other side only."""
+#: Stored bytes of an input for each partition of what is shuffled of it.
+PARTITION_BYTES = 32 << 20
+
+
+def n_partitions(df: DataFrame) -> int:
+    """Shuffle partitions for what follows the size of an input: by its stored bytes, and the session's number at least."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return least if stored > UNKNOWN_BYTES else max(least, -(-stored // PARTITION_BYTES))
+
+
+#: Inputs without statistics, such as local rows, count as larger than any table.
+UNKNOWN_BYTES = 1 << 60
+
+
+def bucketed(df: DataFrame, key: str, name: str, n: int) -> DataFrame:
+    """df written to the shared folder as a table in n buckets of the key: joins on it move the other side only."""
     spark = df.sparkSession
     table_name = f"voxloom_{name}_{uuid.uuid4().hex}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.option("path", shared_path(spark, name)).bucketBy(n, key).saveAsTable(table_name)
     return spark.table(table_name)
 
@@ -72,20 +88,22 @@ def fresh(columns: list[str], *names: str) -> list[str]:
     return out
 
 
-#: Rows of an Arrow batch of texts, which may be long.
-BATCH_ROWS = 1000
+#: Bytes of an Arrow batch, whose rows may be long; a longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """df.mapInArrow(run, schema) with small batches, in workers that give back what a task has held.
 
     Workers live on from task to task and two or more share an executor's memory
-    with its JVM. The session's batch size is lowered if it is larger.
+    with its JVM. Where the session doesn't bound the bytes of a batch itself,
+    BATCH_BYTES is set: plans run later than they are made, so it stays set.
     """
     ship(df.sparkSession)
     conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
     def trimmed(batches):
         yield from run(batches)

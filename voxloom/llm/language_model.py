@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import LAST, chunks, pack_sorted, read_chunk, unpack_sorted
-from .common import bucketed, groups, map_batches, words_of
+from .common import bucketed, groups, map_batches, n_partitions, words_of
 
 ORDER = 3
 BACKOFF = 0.4
@@ -173,13 +173,14 @@ def backoff_scores(
     score 0. Repeated rows are documents of their own and count as often as they
     stand. An empty table gives no rows. Other columns are not looked at.
     """
-    packed = bucketed(chunks(docs, chunk_bytes, count_words=True), "chunk", "lm_chunks")
+    n_tasks = n_partitions(docs)
+    packed = bucketed(chunks(docs, chunk_bytes, count_words=True), "chunk", "lm_chunks", n_tasks)
     size = packed.agg(F.sum("size").alias("n"), F.sum("words").alias("words")).first()
     total, bucket_bits = size["words"] or 0, max(0, (max(1, (size["n"] or 0) // bucket_bytes) - 1).bit_length())
     bits = min(64, 24 + int(total).bit_length())
     cols = ["chunk", "keys", "ends", "data"]
     sent = map_batches(packed.select(*cols), _send(order, bits, bucket_bits), "bucket int, chunk long, names binary, counts binary")
-    answers = map_batches(sent.repartition("bucket").sortWithinPartitions("bucket"), _count, "chunk long, bucket int, counts binary")
-    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts")).alias("answers"))
+    answers = map_batches(sent.repartition(n_tasks, "bucket").sortWithinPartitions("bucket"), _count, "chunk long, bucket int, counts binary")
+    answers = answers.repartition(n_tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts")).alias("answers"))
     told = packed.select(*cols).hint("merge").join(answers, "chunk", "left")
     return map_batches(told, _score(order, bits, total, backoff, least_count), "doc_id long, n_words long, log10_score double")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import LAST, chunks, pack_sorted, read_chunk, unpack_sorted
-from .common import bucketed, by_bitmap, groups, lookup, map_batches, materialize, text_bytes
+from .common import bucketed, by_bitmap, groups, lookup, map_batches, materialize, n_partitions, text_bytes
 
 LENGTH = 50
 GRAM = 16
@@ -414,18 +414,19 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CH
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), text_bytes().alias("text"))
     firsts, copies = _copies(rows)
-    packed = bucketed(chunks(firsts.select(F.col("key").alias("doc_id"), "text"), chunk_bytes), "chunk", "chunks")
+    n_tasks = n_partitions(docs)
+    packed = bucketed(chunks(firsts.select(F.col("key").alias("doc_id"), "text"), chunk_bytes), "chunk", "chunks", n_tasks)
     size = packed.agg(F.sum("size").alias("n")).first()["n"] or 0
     bits = max(0, (max(1, size // bucket_bytes) - 1).bit_length())
     chunk = packed.select("chunk", "keys", "ends", "data")
     names = map_batches(chunk, _send_names(length, bits), "bucket int, chunk long, names binary, several binary")
-    answers = map_batches(names.repartition("bucket").sortWithinPartitions("bucket"), _answer, "chunk long, bucket int, bits binary")
-    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
+    answers = map_batches(names.repartition(n_tasks, "bucket").sortWithinPartitions("bucket"), _answer, "chunk long, bucket int, bits binary")
+    answers = answers.repartition(n_tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
     told = chunk.hint("merge").join(answers, "chunk")
     kinds = "bucket int, chunk long, names binary, keys binary, sizes binary, data binary, refs binary, places binary, settled binary"
     sent = map_batches(told, _send_runs(length, bits), kinds)
-    removed = map_batches(sent.repartition("bucket").sortWithinPartitions("bucket"), _settle(length), "chunk long, removed binary")
-    removed = removed.groupBy("chunk").agg(F.collect_list("removed").alias("removed"))
+    removed = map_batches(sent.repartition(n_tasks, "bucket").sortWithinPartitions("bucket"), _settle(length), "chunk long, removed binary")
+    removed = removed.repartition(n_tasks, "chunk").groupBy("chunk").agg(F.collect_list("removed").alias("removed"))
     whole = chunk.hint("merge").join(removed, "chunk", "left")
     cut = map_batches(whole, _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     n, gone = F.octet_length("text").cast("long"), F.octet_length("text") >= length
