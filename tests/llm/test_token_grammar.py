@@ -10,7 +10,7 @@ from voxloom.llm import token_grammar as G
 from .conftest import text
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-ODD = ["", " ", "a  b", " a", "a ", "a\n b \n", "tab\t x", "  q　 z", "été 12 34a!! **", "it's 'll a", "x <|endoftext|> y", "a<|endoftext|>b c", "\x1c \x1c a", "end. of, it", "b one.\nTwo, x three\nfour's y don't.\nIt b12\nc5,; d.\n\nE f\n\n", "x a\u0301b. Ünï***\nÉé!! \u2028z q\u2028w r", "x.y ,z", "日本 語、 b", "  a", "a" * 5000 + " b"]
+ODD = ["", " ", "a  b", " a", "a ", "a\n b \n", "tab\t x", "  q　 z", "été 12 34a!! **", "it's 'll a", "x <|endoftext|> y", "a<|endoftext|>b c", "\x1c \x1c a", "end. of, it", "b one.\nTwo, x three\nfour's y don't.\nIt b12\nc5,; d.\n\nE f\n\n", "x a\u0301b. Ünï***\nÉé!! \u2028z q\u2028w r", "x.y ,z", "日本 語、 b", "  a", "a" * 5000 + " b", "end.) x?! a,b c:\nd e.;\n f!' g.s h.\u0301 i?é"]
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +30,15 @@ def test_encoder_gives_the_library_s_ids(tokenizer):
     assert encoded(G.Encoder(PATH), texts) == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
 
+def test_encoder_of_another_kind_of_vocabulary():
+    """Words with ends, lower case, white space dropped: pieces say nothing there, so whole texts go to the library."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert G.Encoder(PATH).by_pieces and not G.Encoder(path).by_pieces
+    texts = ODD + [text(i, 100).title() + "\n x." for i in range(5)]
+    library = Tokenizer.from_file(path)
+    assert encoded(G.Encoder(path), texts) == [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
 def test_encoder_with_a_full_memory(tokenizer, monkeypatch):
     monkeypatch.setattr(G, "MOST_PIECES", 10)
     encode = G.Encoder(PATH)

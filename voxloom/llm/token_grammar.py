@@ -20,6 +20,7 @@ A shard is one binary value:
 from __future__ import annotations
 
 import functools
+import json
 import os
 import struct
 import zlib
@@ -42,6 +43,8 @@ STRIDE = 1024
 TEXT_BYTES = 16 << 20
 #: A word, signs or digits, and the same behind a line end.
 PARTS = r"^(?P<a>\pL+)(?P<b>[^\pL\s']*)(?:\n(?P<c>\pL+)(?P<d>[^\pL\s']*))?$"
+#: Signs that often end a word; words with others behind them go by PARTS.
+SIGNS = ".,;:!?"
 #: Pieces of text whose ids a worker remembers.
 MOST_PIECES = 1_000_000
 MAGIC, VERSION = b"VLRP", 1
@@ -231,16 +234,31 @@ class Shard:
         return self.ids(start, start + int(self.lengths[i]))
 
 
+def splits_at_spaces(spec: dict) -> bool:
+    """Whether a tokenizer file is plain byte-level BPE: nothing is changed or added, no added token has or takes white space."""
+    split, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    return (
+        not any(spec.get(k) for k in ("normalizer", "truncation", "padding"))
+        and split.get("type") == "ByteLevel"
+        and split.get("use_regex", True)
+        and not split.get("add_prefix_space")
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+        and not any(t.get("lstrip") or t.get("rstrip") or t["content"].split() != [t["content"]] for t in spec.get("added_tokens") or [])
+    )
+
+
 class Encoder:
     """Ids of texts by a file of the tokenizers library.
 
-    This vocabulary's splitting never joins what stands before a single space
+    Byte-level splitting never joins what stands before a single space
     and what follows it if neither side is white space, so the ids of a text are
     those of its pieces, and pieces recur: each different one of a batch is
     looked up once, and encoded only if it is new. Nor does it join letters with
     what follows them, other than behind an apostrophe, or a line end with the
     word behind it, so new pieces are put together of their parts. A text with
-    any other white space beside a space is encoded as a whole.
+    any other white space beside a space is encoded as a whole, and so is every
+    text if the file names another way of splitting (see `splits_at_spaces`).
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -251,8 +269,12 @@ class Encoder:
         self.kind = np.uint16 if self.base <= 1 << 16 else np.uint32
         self.width = np.dtype(self.kind).itemsize
         self.end = np.array([end_id], self.kind).tobytes()
+        with open(path, encoding="utf-8") as f:
+            self.by_pieces = splits_at_spaces(json.load(f))
+        if not self.by_pieces:
+            return
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        #: In this vocabulary a character of a token stands for one byte.
+        #: In a byte-level vocabulary a character of a token stands for one byte.
         self.n_bytes = np.zeros(self.base, np.int64)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.n_bytes[i] = len(token)
@@ -298,6 +320,15 @@ class Encoder:
         ids = [(new.get(x) or self.signs[x]) if x else b"" for x in different]
         return [ids[k] if k >= 0 else b"" for k in pc.fill_null(coded.indices, -1).to_pylist()]
 
+    def _sign_ids(self, sign: str) -> bytes:
+        """Ids of signs behind letters."""
+        ids = self.signs.get(sign)
+        if ids is None:
+            (ids,) = self._encode([sign])
+            if len(self.signs) < MOST_PIECES:
+                self.signs[sign] = ids
+        return ids
+
     def _words(self, column) -> dict[str, bytes]:
         """Ids of words that begin a line."""
         words = [w for w in pc.unique(column).to_pylist() if w]
@@ -315,31 +346,41 @@ class Encoder:
         if not new:
             return found
         own = pa.array([pieces[i] for i in new], pa.string())
-        letters = pc.utf8_is_alpha(own)
-        alone = own.filter(letters).to_pylist()
-        mixed = own.filter(pc.invert(letters))
+        trimmed = pc.utf8_rtrim(own, SIGNS)
+        simple = pc.utf8_is_alpha(trimmed).to_pylist()
+        mixed = own.filter(pc.invert(pa.array(simple)))
         parts = pc.extract_regex(mixed, PARTS)
         word, sign, next_word, next_sign = (pc.struct_field(parts, k) for k in "abcd")
         plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(mixed), mixed), pc.not_equal(mixed, ""))
         stem = pc.if_else(plain, pc.coalesce(word, mixed), None).to_pylist()
-        have = dict.fromkeys(alone)
-        todo = alone + [w for w in dict.fromkeys(stem) if w is not None and w not in have and w not in self.pieces]
+        trimmed = trimmed.to_pylist()
+        wanted = dict.fromkeys(t for t, one in zip(trimmed, simple, strict=True) if one) | dict.fromkeys(stem)
+        wanted.pop(None, None)
+        todo = [w for w in wanted if w not in self.pieces]
         stems = dict(zip(todo, self._encode_behind(" ", todo), strict=True))
         words = self._words(next_word)
         made = []
         for w, b, c, d in zip(stem, self._signs(sign), next_word.to_pylist(), self._signs(next_sign), strict=True):
             ids = b"" if w is None else (stems.get(w) or self.pieces[w]) + b
             made.append(ids + self.line + words[c] + d if c and ids else ids)
+        others, signs = iter(made), self._sign_ids
+        for i, t, one in zip(new, trimmed, simple, strict=True):
+            if one:
+                piece = pieces[i]
+                ids = stems.get(t) or self.pieces[t]
+                found[i] = ids if len(t) == len(piece) else ids + signs(piece[len(t) :])
+            else:
+                found[i] = next(others)
         if len(self.pieces) < MOST_PIECES:
             self.pieces.update(stems)
-            self.pieces.update(zip(mixed.to_pylist(), made, strict=True))
-        singles, others = iter(stems.values()), iter(made)
-        for i, single in zip(new, letters.to_pylist(), strict=True):
-            found[i] = next(singles) if single else next(others)
+            self.pieces.update((pieces[i], found[i]) for i in new)
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (none is null) in a row, each text's with the end id, and each text's number of them."""
+        if not self.by_pieces:
+            whole = [ids + self.end for ids in self._encode(texts.to_pylist())]
+            return np.frombuffer(b"".join(whole), self.kind), np.array(list(map(len, whole)), np.int64) // self.width
         split = pc.split_pattern(texts, " ")
         counts = pc.list_value_length(split).to_numpy().astype(np.int64)
         ends = np.cumsum(counts)
