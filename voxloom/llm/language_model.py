@@ -1,14 +1,22 @@
 """Stupid-backoff scores of documents under n-gram counts of the whole corpus.
 
-Texts are packed into chunks, a table in buckets. Each chunk explodes its n-grams, adds up equal
-ones and sends them, packed and partitioned by hash, to the count tables, which
-add the chunks up and answer with the counts of all documents. Joined back to
-the chunk, these give each word's score, summed per document. N-grams of two and
-more words that occur fewer than LEAST_COUNT times are pruned, so a word whose
-context isn't known backs off.
-
-N-grams are told apart by hashes of 24 bits more than the corpus has words' bits
-(64 at most), so about one in 2^24 shares its count with another at any size.
+The plan is relational: n-grams exploded from the documents are counted in
+tables partitioned by the hash of the n-gram, the counts are joined back to the
+exploded n-grams, and log scores are summed per document. Relations are kept
+packed, since as rows they are many times the text: a chunk is about CHUNK bytes
+of documents, and the n-grams that it sends to one partition of the count tables
+are one row, a column of sorted n-grams and one of their numbers in the chunk.
+That is also the map-side aggregation: an n-gram, however frequent, comes once
+from each chunk. The partition adds the chunks up and answers with the counts of
+all documents in the same order.
+
+Every n-gram counts, from one occurrence on. least_count prunes rarer ones of
+two and more words, so that a word whose context isn't known backs off; in the
+corpus itself every n-gram is known.
+
+N-grams are named by hashes of 24 bits more than the number of the corpus's
+words has (64 at most), so about one in 2^24 shares its count with another,
+alike at any size.
 """
 
 from __future__ import annotations
@@ -27,7 +35,7 @@ from .common import bucketed, groups, map_batches, n_partitions, words_of
 
 ORDER = 3
 BACKOFF = 0.4
-LEAST_COUNT = 2
+LEAST_COUNT = 1
 CHUNK = 4 << 20
 #: Text bytes for each partition of the count tables.
 BUCKET = 16 << 20

@@ -42,9 +42,9 @@ n3 as (select c, b, a, count(*) n from p where c is not null group by c, b, a),
 t as (select count(*)::double n from p),
 s as (
   select rid,
-    case when p.c is not null and n3.n >= 2 then log10(n3.n::double / x2.n)
+    case when p.c is not null and n3.n >= 1 then log10(n3.n::double / x2.n)
          else case when p.c is not null then log10(0.4::double) else 0 end
-            + case when p.b is not null and n2.n >= 2 then log10(n2.n::double / x1.n)
+            + case when p.b is not null and n2.n >= 1 then log10(n2.n::double / x1.n)
                    else case when p.b is not null then log10(0.4::double) else 0 end + log10(n1.n::double / t.n) end end l
   from p join n1 on p.a = n1.a cross join t
   left join n2 on p.b = n2.b and p.a = n2.a
