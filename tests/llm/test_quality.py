@@ -46,7 +46,7 @@ def test_every_row_has_a_score(scored):
 
 
 def test_a_score_depends_on_the_text_alone():
-    net = Q.ByteNet().train([Q.chunks_of(t.encode()) for _, t in ROWS[:40]], np.array([y for _, y, _ in LABELS[:40]]))
+    net = Q.ByteNet().train([t.encode() for _, t in ROWS[:40]], np.array([y for _, y, _ in LABELS[:40]]))
     texts = [t.encode() for _, t in ROWS[:30]] + [b"", b"a" * 127, b"a" * 128, b"b" * 129, text(1, 3000).encode()]
     together = net.scores(texts)
     assert np.allclose(together, [net.scores([t])[0] for t in texts], atol=2e-6)
@@ -54,15 +54,16 @@ def test_a_score_depends_on_the_text_alone():
 
 
 def test_the_end_of_a_long_text_counts():
-    net = Q.ByteNet().train([Q.chunks_of(t.encode()) for _, t in ROWS[:100]], np.array([y for _, y, _ in LABELS[:100]]))
+    net = Q.ByteNet().train([t.encode() for _, t in ROWS[:100]], np.array([y for _, y, _ in LABELS[:100]]))
     clean = text(1, 3000)
     assert net.scores([(clean + " " + junk(0) * 300).encode()])[0] < net.scores([clean.encode()])[0]
 
 
-def test_gradients():
+def test_gradients(monkeypatch):
     net = Q.ByteNet(3)
     docs = [Q.chunks_of(t.encode()) for _, t in ROWS[:6]]
-    echo = np.concatenate([np.maximum(Q.echoes(d[:, : Q.LAGS + Q.BLOCK]), Q.echoes(d[:, Q.BLOCK : Q.LAGS + 2 * Q.BLOCK])) for d in docs])
+    monkeypatch.setattr(Q, "GROUP_CHUNKS", 7)
+    echo = np.concatenate([Q.chunk_echoes(d) for d in docs])
     y = np.array([y for _, y, _ in LABELS[:6]], np.float32)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     net.p["pool"] = np.array([0.7, 0.2, 0.1, 0.05])
@@ -73,7 +74,7 @@ def test_gradients():
         assert len(texts) == len(s)
         return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
 
-    grads = net._gradients([d[:, Q.LAGS :] for d in docs], echo, y)
+    grads = net._gradients(docs, echo, y)
     rng = np.random.default_rng(0)
     for name in ("filters", "hidden", "out", "pool", "bias", "hidden_bias", "out_bias", "embed"):
         flat, g = net.p[name].reshape(-1), grads[name].reshape(-1)
@@ -144,6 +145,28 @@ def naive_score(net, t):
 
 
 def test_scores_equal_a_naive_forward_pass():
-    net = Q.ByteNet().train([Q.chunks_of(t.encode()) for _, t in ROWS[:60]], np.array([y for _, y, _ in LABELS[:60]]))
+    net = Q.ByteNet().train([t.encode() for _, t in ROWS[:60]], np.array([y for _, y, _ in LABELS[:60]]))
     texts = [t.encode() for _, t in ROWS[:12]] + [b"", b"x", b"ab" * 200, b"\xc3\xa9" * 90, text(1, 700).encode(), *[bytes([97 + k % 26 for k in range(n)]) for n in (95, 96, 97, 127, 128, 129, 224, 225, 256)]]
     assert np.allclose(net.scores(texts), [naive_score(net, t) for t in texts], atol=1e-4)
+
+
+def test_the_sample_is_bounded_and_whole(spark, documents, monkeypatch):
+    rows = [(i, text(i, 10 + i)) for i in range(40)] + [(40, text(40, 5000)), (3, "zz"), (5, "")]
+    labels = table_of(spark, [(i, i % 2, 0) for i in range(41)])
+    texts, y = Q.training_sample(documents(rows), labels)
+    want = {}
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 5:
+            want[i] = min(want.get(i, t), t)
+    assert sorted(texts) == sorted(t.encode() for t in want.values()) and len(y) == len(texts)
+    assert len(Q.training_sample(documents(rows), labels, 10)[0]) == 10
+    monkeypatch.setattr(Q, "LONGEST", 10_000)
+    assert max(map(len, Q.training_sample(documents(rows), labels)[0])) < 10_000
+    monkeypatch.setattr(Q, "TRAIN_BYTES", 2000)
+    assert 0 < sum(map(len, Q.training_sample(documents(rows), labels)[0])) <= 2000
+
+
+def test_all_chunks_are_trained_on():
+    t = text(1, 3000).encode()
+    chunks = Q.chunks_of(t)
+    assert len(chunks) == Q.n_blocks(len(t)) - 1 and b"".join(c[Q.LAGS : Q.LAGS + Q.BLOCK].tobytes() for c in chunks) == t[: len(chunks) * Q.BLOCK]

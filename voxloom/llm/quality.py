@@ -1,28 +1,29 @@
 """Document quality by a byte-level convolutional network in numpy.
 
 Bytes are embedded, learned filters of WIDTH bytes slide over the whole text in
-steps of STEP, and dilated filters compare each byte with those up to LAGS
-before it, which tells text that repeats itself. Their outputs are max-pooled in
-overlapping chunks of two blocks, a small layer makes a logit of each chunk, and
+steps of STEP and are max-pooled in overlapping chunks of two blocks. One fixed
+feature stands beside them, the share of a chunk's bytes that repeat what is up
+to LAGS before (see `echoes`). A small layer makes a logit of each chunk, and
 the mean, largest and least logit of a document are combined into one
-probability. Training uses a bounded sample
-of labelled rows (TRAIN_ROWS documents, TRAIN_CHUNKS chunks of each); scoring
-reads every byte of every text.
+probability. Training reads whole texts of a bounded sample of labelled rows;
+scoring reads every byte of every text.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, slices
+from .common import map_batches, materialize, slices, text_bytes
 
 #: Bound of the training sample: documents, half of them of each label if there are as many.
 TRAIN_ROWS = 3000
-#: Chunks of a training document, evenly spaced over it.
-TRAIN_CHUNKS = 16
+#: Bytes of the sample and of a document in it; what is beyond isn't trained on.
+TRAIN_BYTES, LONGEST = 64 << 20, 1 << 20
+#: Chunks that training holds at a time.
+GROUP_CHUNKS = 1024
 FOLDS = 5
 THRESHOLD = 0.3
 BLOCK, WIDTH, STEP = 128, 8, 4
@@ -119,15 +120,16 @@ class ByteNet:
         z = np.stack([mean, np.maximum.reduceat(logits, at), np.minimum.reduceat(logits, at)], 1) @ p["pool"][:3] + p["pool"][3]
         return np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 6)
 
-    def train(self, docs: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> ByteNet:
-        """docs: for each its chunks as chunks_of gives them. Adam over balanced batches."""
-        echo = [np.maximum(echoes(d[:, : LAGS + BLOCK]), echoes(d[:, BLOCK : LAGS + 2 * BLOCK])) for d in docs]
+    def train(self, texts: list[bytes], labels: np.ndarray, seed: int = 11) -> ByteNet:
+        """Adam over balanced batches of whole texts."""
+        docs = list(map(chunks_of, texts))
+        echo = [chunk_echoes(d) for d in docs]
         rng, p = np.random.default_rng(seed), self.p
         moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
         by_label = [np.flatnonzero(labels == v) for v in (0, 1)]
         for step in range(1, STEPS + 1):
             pick = np.concatenate([rng.choice(own, BATCH // 2) for own in by_label])
-            grads = self._gradients([docs[i][:, LAGS:] for i in pick], np.concatenate([echo[i] for i in pick]), labels[pick].astype(np.float32))
+            grads = self._gradients([docs[i] for i in pick], np.concatenate([echo[i] for i in pick]), labels[pick].astype(np.float32))
             rate = RATE * min(1, step / 20) * (1 - 0.95 * step / STEPS)
             for k, g in grads.items():
                 m, v = moments[k]
@@ -138,15 +140,22 @@ class ByteNet:
         return self
 
     def _gradients(self, docs: list[np.ndarray], echo: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean loss over documents; group by group of chunks, forward and then back."""
         p, counts = self.p, np.array([len(d) for d in docs])
-        chunks = np.concatenate(docs)
-        n, at = len(chunks), np.concatenate(([0], np.cumsum(counts)[:-1]))
+        n, at = int(counts.sum()), np.concatenate(([0], np.cumsum(counts)[:-1]))
         of = np.repeat(np.arange(len(docs)), counts)
-        x = p["embed"][chunks].reshape(n, -1, _GROUP)
-        wide = np.concatenate((x[:, :-1], x[:, 1:]), axis=2)
-        out = wide @ p["filters"] + p["bias"]
-        where = out.argmax(axis=1)
-        peak = np.take_along_axis(out, where[:, None], axis=1)[:, 0]
+        groups = list(_groups(docs))
+        where, peak = np.empty((n, FILTERS), np.int64), np.empty((n, FILTERS), p["bias"].dtype)
+        done = 0
+        for own in groups:
+            own = np.concatenate(own)[:, LAGS:]
+            x = p["embed"][own].reshape(len(own), -1, _GROUP)
+            out = x[:, :-1] @ p["filters"][:_GROUP]
+            out += x[:, 1:] @ p["filters"][_GROUP:]
+            best = out.argmax(axis=1)
+            where[done : done + len(own)] = best
+            peak[done : done + len(own)] = np.take_along_axis(out, best[:, None], axis=1)[:, 0] + p["bias"]
+            done += len(own)
         pooled = np.concatenate((np.maximum(peak, 0), echo[:, None]), axis=1)
         pre = pooled @ p["hidden"] + p["hidden_bias"]
         hid = np.maximum(pre, 0)
@@ -160,15 +169,18 @@ class ByteNet:
         dl += (logit == top[of]) * (dz * p["pool"][1])[of] + (logit == low[of]) * (dz * p["pool"][2])[of]
         dh = np.outer(dl, p["out"]) * (pre > 0)
         dp = (dh @ p["hidden"][:FILTERS].T) * (peak > 0)
-        rows = np.arange(n)[:, None]
-        at_peak = wide[rows, where]
-        d_filters = np.einsum("ncg,nc->gc", at_peak, dp)
-        d_wide = np.einsum("nc,gc->ncg", dp, p["filters"]).reshape(n, FILTERS, WIDTH, EMBED)
-        read = chunks[rows[:, :, None], (where * STEP)[:, :, None] + np.arange(WIDTH)]
-        by_byte, d_wide = read.ravel(), d_wide.reshape(-1, EMBED)
-        d_embed = np.stack([np.bincount(by_byte, d_wide[:, j], 256) for j in range(EMBED)], 1).astype(np.float32)
+        d_filters, d_embed, done = np.zeros_like(p["filters"]), np.zeros(p["embed"].shape), 0
+        for own in groups:
+            own = np.concatenate(own)[:, LAGS:]
+            part = slice(done, done + len(own))
+            read = own[np.arange(len(own))[:, None, None], (where[part] * STEP)[:, :, None] + np.arange(WIDTH)]
+            at_peak = p["embed"][read].reshape(len(own), FILTERS, -1)
+            d_filters += np.einsum("ncg,nc->gc", at_peak, dp[part])
+            d_wide = (dp[part][:, :, None] * p["filters"].T[None]).reshape(-1, EMBED)
+            d_embed += np.stack([np.bincount(read.ravel(), d_wide[:, j], 256) for j in range(EMBED)], 1)
+            done += len(own)
         return {
-            "embed": d_embed,
+            "embed": d_embed.astype(p["embed"].dtype),
             "filters": d_filters,
             "bias": dp.sum(0),
             "hidden": pooled.T @ dh,
@@ -179,19 +191,42 @@ class ByteNet:
         }
 
 
+def _groups(docs: list[np.ndarray]):
+    """The chunks of all documents in a row, in lists of GROUP_CHUNKS at most."""
+    held, size = [], 0
+    for d in docs:
+        while len(d):
+            held.append(d[: GROUP_CHUNKS - size])
+            size += len(held[-1])
+            d = d[len(held[-1]) :]
+            if size == GROUP_CHUNKS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def chunks_of(text: bytes) -> np.ndarray:
-    """Up to TRAIN_CHUNKS chunks of a text, evenly spaced, as the scoring cuts them, each led by the LAGS bytes before it."""
+    """All chunks of a text, as the scoring cuts them, each led by the LAGS bytes before it; a view of the text, not copies."""
     blocks = n_blocks(len(text))
     data = np.frombuffer(b"\0" * LAGS + text.ljust(blocks * BLOCK + STEP, b"\0"), np.uint8)
-    starts = np.unique(np.linspace(0, blocks - 2, min(TRAIN_CHUNKS, blocks - 1)).round().astype(int)) * BLOCK
-    return np.stack([data[s : s + LAGS + 2 * BLOCK + STEP] for s in starts])
+    return np.lib.stride_tricks.sliding_window_view(data, LAGS + 2 * BLOCK + STEP)[::BLOCK][: blocks - 1]
+
 
+def chunk_echoes(chunks: np.ndarray) -> np.ndarray:
+    """The larger of the echoes of a chunk's two blocks."""
+    parts = [chunks[i : i + GROUP_CHUNKS] for i in range(0, len(chunks), GROUP_CHUNKS)]
+    return np.concatenate([np.maximum(echoes(c[:, : LAGS + BLOCK]), echoes(c[:, BLOCK : LAGS + 2 * BLOCK])) for c in parts])
 
-def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Chunks and labels of `rows` labelled documents at most that aren't held out, chosen by a hash of the id.
 
-    Repeated labels of one id are averaged; ids and qualities that are null are
-    left out; of repeated document rows each counts.
+def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[bytes], np.ndarray]:
+    """Whole texts and labels of `rows` labelled documents at most that aren't held out, chosen by a hash of the id.
+
+    Half of them are of each label if there are as many; texts longer than
+    LONGEST are left out, and so are those with which the sample, in order of
+    the hash, would have more than TRAIN_BYTES. Repeated labels of one id are
+    averaged; ids and qualities that are null are left out; of repeated document
+    rows the one with the least text counts.
     """
     told = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
@@ -202,19 +237,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
         .withColumn("rank", F.xxhash64("doc_id"))
     )
     halves = [told.where(F.col("label") == v).orderBy("rank", "doc_id").limit(rows // 2) for v in (0, 1)]
-    chosen = materialize(halves[0].unionByName(halves[1]).select("doc_id", "label"), "quality-sample")
-
-    def cut(batches):
-        for batch in batches:
-            for at, texts in slices(batch):
-                part = [np.ascontiguousarray(chunks_of(t)).tobytes() for t in texts]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(part, pa.binary())], ["label", "chunks"])
-
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    found = map_batches(own.select("label", "text"), cut, "label int, chunks binary").limit(2 * rows).collect()
-    found = sorted((r["label"], bytes(r["chunks"])) for r in found)
-    size = LAGS + 2 * BLOCK + STEP
-    return [np.frombuffer(c, np.uint8).reshape(-1, size) for _, c in found], np.array([y for y, _ in found], np.int64)
+    chosen = materialize(halves[0].unionByName(halves[1]).select("doc_id", "label", "rank"), "quality-chosen")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).where(F.octet_length("text") <= LONGEST)
+    own = own.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "rank").agg(F.min("text").alias("text"))
+    sample = materialize(own, "quality-sample")
+    size = F.sum(F.octet_length("text")).over(Window.orderBy("rank", "doc_id"))
+    within = sample.select("doc_id", (size <= TRAIN_BYTES).alias("within")).where("within")
+    found = sample.join(F.broadcast(within), "doc_id").select("rank", "doc_id", "label", "text").collect()
+    found = sorted((r["rank"], r["doc_id"], r["label"], bytes(r["text"])) for r in found)
+    return [t for *_, t in found], np.array([y for _, _, y, _ in found], np.int64)
 
 
 class Constant:
@@ -262,7 +293,12 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
 
 def without_rejected(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that the classifier accepts, with all their columns."""
+    """The rows of docs that the classifier accepts, with all their columns.
+
+    A row is judged by its text alone, null as empty, so repeated rows stay or go
+    together; an empty table gives no rows. Without labels of both kinds all rows
+    have one score and stay or go together.
+    """
     model = fit(docs, labels)
 
     def keep(batches):
