@@ -44,6 +44,39 @@ def test_odd_rows(documents):
     assert out.count() == len(rows) and out.columns == [*[c for c in docs.columns if c != "shard"], "shard", "virtual_slot"]
 
 
+def brute(rows, slots, n_shards):
+    """The shard of each slot, the heaviest slot next to the lightest shard, and where each record lies then."""
+    weight, load, home = Counter(), [0] * n_shards, {}
+    for (_, t), slot in zip(rows, slots, strict=True):
+        weight[slot] += len((t or "").encode()) + 1
+    for slot in sorted(weight, key=lambda k: (-weight[k], k)):
+        home[slot] = min(range(n_shards), key=lambda s: (load[s], s))
+        load[home[slot]] += weight[slot]
+    return [home[slot] for slot in slots]
+
+
+def test_equals_brute_force(documents):
+    rows = [(i, text(i, 1 + i * 37 % 300)) for i in range(700)] + [(9, "other"), (9, "other"), (None, "x"), (800, None)]
+    out = S.assign(documents(rows, clashing=True)).collect()
+    check(rows, out)
+    by = Counter((r["doc_id"], r["text_crc32"], r["virtual_slot"], r["shard"]) for r in out)
+    slots = {}
+    for r in out:
+        slots.setdefault((r["doc_id"], r["text_crc32"]), []).append(r["virtual_slot"])
+    own = [slots[i, zlib.crc32((t or "").encode())].pop() for i, t in rows]
+    want = Counter((i, zlib.crc32((t or "").encode()), slot, shard) for (i, t), slot, shard in zip(rows, own, brute(rows, own, 16), strict=True))
+    assert by == want
+
+
+def test_the_law_holds_with_large_groups(documents):
+    """A third of the rows have one text, a third one id, a third no id and one text: bytes are still near equal."""
+    rows = [(i, "copy " * 40) for i in range(3000)] + [(5000, text(i, 40)) for i in range(3000)] + [(None, "copy " * 40)] * 3000
+    sizes = check(rows, S.assign(documents(rows)).collect())
+    assert max(sizes.values()) <= 1.02 * min(sizes.values())
+    out = S.with_shards(documents(rows)).groupBy("shard").count().collect()
+    assert len(out) == 16 and max(r["count"] for r in out) <= 1.1 * min(r["count"] for r in out)
+
+
 def test_many_buckets_within_a_shard(documents, monkeypatch):
     monkeypatch.setattr(S, "ROWS_PER_BUCKET", 5)
     rows = rows_of(500)

@@ -1,6 +1,7 @@
 """Sharding by fixed virtual slots.
 
-Every record is hashed into one of `n_slots` virtual slots, for good. Bytes are
+Every record is hashed into one of `n_slots` virtual slots, for good: by id and
+text, so that many rows of one id or none don't fill one slot. Bytes are
 added up per slot, a map deals the slots out to shards, and the map is stored as
 numbered versions in the shared folder. Rebalancing edits the map; records never
 change their slot. Only `n_slots` numbers ever reach the driver.
@@ -20,9 +21,10 @@ N_SLOTS = 4096
 ROWS_PER_BUCKET = 50_000
 
 
-def slot_of(key, n_slots: int = N_SLOTS):
-    """The virtual slot of a key column; a null key has a slot as any other."""
-    return F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.lit("\u0000"))), F.lit(n_slots)).cast("int")
+def slot_of(doc_id, text, n_slots: int = N_SLOTS):
+    """The virtual slot of a record, by its id and text; records without an id are spread by their place in the input, too."""
+    place = F.when(doc_id.isNull(), F.monotonically_increasing_id())
+    return F.pmod(F.xxhash64(doc_id.cast("string"), text, place), F.lit(n_slots)).cast("int")
 
 
 def record_size(text):
@@ -139,10 +141,13 @@ def assign(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, maps: Sl
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version: a row for each row of docs.
 
     `slot` is the record's place in its shard: 0, 1, 2, ... in order of bucket,
-    doc_id, size and checksum. Law: bytes. A null text counts as empty, a null
-    doc_id is a key like any other, repeated rows each get a place of their own,
-    an empty table gives no rows; other columns of docs are not looked at. If
-    maps has a version already, it is rebalanced and written as the next.
+    doc_id, size and checksum. Law: bytes, which holds for groups of equal texts
+    of any size: copies under different ids are records of their own, spread over
+    all shards and not kept together. Rows of one id and one text share a slot, and
+    each has a place of its own. A null text counts as empty, rows without an id
+    are spread, and which of equal ones lies where follows the input's files; an
+    empty table gives no rows; other columns of docs are not looked at. If maps has
+    a version already, it is rebalanced and written as the next.
     """
     spark = docs.sparkSession
     text = F.col("text")
@@ -151,7 +156,7 @@ def assign(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, maps: Sl
             F.col("doc_id").cast("long").alias("doc_id"),
             record_size(text).alias("size"),
             F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-            slot_of(F.col("doc_id"), n_slots).alias("virtual_slot"),
+            slot_of(F.col("doc_id"), text, n_slots).alias("virtual_slot"),
         ),
         "slotted",
     )
@@ -161,7 +166,7 @@ def assign(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, maps: Sl
     n_buckets = max(8, -(-n // (n_shards * ROWS_PER_BUCKET)))
     placed = records.join(
         F.broadcast(maps.read(version).withColumnRenamed("slot", "virtual_slot")), "virtual_slot"
-    ).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n_buckets)))
+    ).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", "virtual_slot"), F.lit(n_buckets)))
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = counts.select(
         "shard",
@@ -194,9 +199,10 @@ def with_shards(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, map
     """
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c.lower() not in ("shard", "virtual_slot")]
-    slotted = docs.select(*keep, slot_of(F.col("doc_id"), n_slots).alias("virtual_slot"))
+    own = slot_of(F.col("doc_id"), F.col("text"), n_slots).alias("virtual_slot")
+    slotted = docs.select(*keep, own)
     maps = maps or SlotMaps(spark)
-    sizes = docs.select(slot_of(F.col("doc_id"), n_slots).alias("virtual_slot"), record_size(F.col("text")).alias("size"))
+    sizes = docs.select(own, record_size(F.col("text")).alias("size"))
     version = maps.next(slot_weights(sizes), n_shards, n_slots)
     slot_map = maps.read(version).withColumnRenamed("slot", "virtual_slot")
     return slotted.join(F.broadcast(slot_map), "virtual_slot").select(*keep, "shard", "virtual_slot")
