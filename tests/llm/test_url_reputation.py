@@ -61,33 +61,60 @@ def test_a_hot_host(spark):
     assert len(got) == 1000
 
 
-@pytest.mark.parametrize(("host", "domain", "suffix"), [("a.b.co.uk", "b.co.uk", "co.uk"), ("x.y.org", "y.org", "org"), ("org", "org", "org"), ("", "", "")])
-def test_domains(spark, host, domain, suffix):
+RULES = ["com", "Co.KR", None, "kr", "s3.amazonaws.com", "*.ck", "!www.ck", "*.sch.uk", "uk", ""]
+
+
+@pytest.mark.parametrize(
+    ("host", "domain", "suffix", "by_table"),
+    [
+        ("a.b.co.uk", "b.co.uk", "co.uk", ("co.uk", "uk")),
+        ("x.y.org", "y.org", "org", ("y.org", "org")),
+        ("org", "org", "org", ("org", "org")),
+        ("", "", "", ("", "")),
+        ("a.b.co.kr", "b.co.kr", "co.kr", ("b.co.kr", "co.kr")),
+        ("a.com.tw", "a.com.tw", "com.tw", ("com.tw", "tw")),
+        ("a.b.s3.amazonaws.com", "amazonaws.com", "com", ("b.s3.amazonaws.com", "s3.amazonaws.com")),
+        ("x.shop.town.ck", "town.ck", "ck", ("shop.town.ck", "town.ck")),
+        ("a.www.ck", "www.ck", "ck", ("www.ck", "ck")),
+        ("ck", "ck", "ck", ("ck", "ck")),
+        ("a.b.c.sch.uk", "c.sch.uk", "sch.uk", ("b.c.sch.uk", "c.sch.uk")),
+    ],
+)
+def test_domains(spark, host, domain, suffix, by_table):
     from pyspark.sql import functions as F
 
-    r = spark.range(1).select(U.domain_of(F.lit(host)).alias("d"), U.suffix_of(F.lit(host)).alias("s")).first()
-    assert (r["d"], r["s"]) == (domain, suffix)
+    rules = U.suffix_rules(spark.createDataFrame([(r,) for r in RULES], "suffix string"))
+    r = spark.range(1).select(
+        U.domain_of(F.lit(host)).alias("d"), U.suffix_of(F.lit(host)).alias("s"), U.domain_of(F.lit(host), rules).alias("td"), U.suffix_of(F.lit(host), rules).alias("ts")
+    )
+    assert tuple(r.first()) == (domain, suffix, *by_table)
 
 
 def test_hosts_under_a_given_suffix_are_not_pooled(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
-    bad = [(i, "http://bad.co.kr/x") for i in range(60)]
+    bad = [(i, "http://bad.github.io/x") for i in range(60)]
     good = [(100 + i, f"http://h{i}.com/x") for i in range(60)]
-    pages = spark.createDataFrame([*bad, *good, (500, "http://clean.co.kr/x"), (501, "http://sub.bad.co.kr/x")], "page_id long, url string")
+    pages = spark.createDataFrame([*bad, *good, (500, "http://clean.github.io/x"), (501, "http://sub.bad.github.io/x")], "page_id long, url string")
     labels = spark.createDataFrame([(i, 0, 0) for i, _ in bad] + [(i, 1, 0) for i, _ in good], "doc_id long, quality int, toxic int")
-    suffixes = spark.createDataFrame([("com",), ("Co.KR",), (None,), ("kr",), ("s3.amazonaws.com",)], "suffix string")
+    suffixes = spark.createDataFrame([("com",), ("GitHub.io",), (None,), ("io",)], "suffix string")
 
     def means(**more):
         return {r["page_id"]: r["mean"] for r in U.judge(pages, labels, **more).where("page_id >= 500").collect()}
 
     pooled, apart = means(), means(suffixes=suffixes)
-    assert pooled[500] == pooled[501]  # without the table co.kr is one domain
+    assert pooled[500] == pooled[501]  # without the table github.io is one domain
     assert apart[500] < apart[501]
-    r = spark.range(1).select(U.domain_of(F.lit("a.b.s3.amazonaws.com"), U.long_suffixes_of(suffixes)).alias("d")).first()
-    assert r["d"] == "b.s3.amazonaws.com"
-    with pytest.raises(ValueError, match="written out"):
-        U.long_suffixes_of(spark.createDataFrame([("*.ck",)], "suffix string"))
     monkeypatch.setattr(U, "MOST_SUFFIXES", 3)
     with pytest.raises(ValueError, match="more than 3"):
-        U.long_suffixes_of(suffixes)
+        U.suffix_rules(suffixes)
+
+
+def test_rows_without_an_id_and_clashing_columns(spark):
+    pages = spark.createDataFrame(
+        [(None, f"http://h{i % 3}.org/", "x", 1, 2, "y") for i in range(60)] + [(1, "http://h0.org/", "x", 1, 2, "y")],
+        "page_id long, url string, host string, n long, bad long, _found string",
+    )
+    labels = spark.createDataFrame([(1, 0, 0, "z"), (None, 0, 0, "z")], "doc_id long, quality int, toxic int, host string")
+    out = U.judge(pages, labels).collect()
+    assert len(out) == 61 and {r["host"] for r in out} == {"h0.org", "h1.org", "h2.org"}
+    assert len({r["mean"] for r in out if r["host"] == "h1.org"}) == 1
+    assert max(r["mean"] for r in out if r["host"] == "h0.org") > max(r["mean"] for r in out if r["host"] == "h1.org")

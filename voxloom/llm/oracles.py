@@ -111,7 +111,7 @@ h2 as (
          array_to_string(parts[greatest(np - 2, 1):np], '.') three, parts[np] last from h1),
 h as (
   select host, n, bad, case when long then three else two end dom, case when long then two else last end suf
-  from (select *, two in ('co.uk','org.uk','ac.uk','gov.uk','com.au','net.au','co.jp','co.nz','com.br','co.in','com.cn','com.mx') long from h2)),
+  from (select *, regexp_full_match(two, '(ac|co|com|edu|go|gob|gov|ltd|mil|ne|net|nom|or|org|plc|sch)[.][a-z][a-z]') long from h2)),
 d as (select dom, suf, sum(n) n, sum(bad) bad from h group by dom, suf),
 s as (select suf, sum(n) n, sum(bad) bad from d group by suf),
 r as (select (coalesce(sum(bad), 0) + 1.0::double) / (coalesce(sum(n), 0) + 2.0::double) m from s),

@@ -22,8 +22,8 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-#: Public suffixes of several labels where no table of them is given; all others have one.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "co.jp", "co.nz", "com.br", "co.in", "com.cn", "com.mx")
+#: Where no table of public suffixes is given, one of these before a country's two letters is part of the suffix; all others have one label.
+SECOND_LEVELS = ("ac", "co", "com", "edu", "go", "gob", "gov", "ltd", "mil", "ne", "net", "nom", "or", "org", "plc", "sch")
 #: Rows that a table of suffixes may have; the public suffix list has about 10,000.
 MOST_SUFFIXES = 50_000
 LIMIT = 0.5
@@ -43,23 +43,30 @@ def path_of(url):
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
-def long_suffixes_of(table: DataFrame) -> tuple[str, ...]:
-    """Suffixes of several labels in a table's column `suffix`; rules for wildcards and exceptions are refused, as is a table too large."""
+def suffix_rules(table: DataFrame) -> tuple[str, ...]:
+    """The rules in a table's column `suffix`, as public suffix lists have them: names, *.name for any label before it, !name for exceptions."""
     found = [r["suffix"] for r in table.select(F.translate("suffix", UPPER, LOWER).alias("suffix")).distinct().limit(MOST_SUFFIXES + 1).collect()]
     if len(found) > MOST_SUFFIXES:
         raise ValueError(f"more than {MOST_SUFFIXES} suffixes")
-    if any(x and (x.startswith("!") or "*" in x) for x in found):
-        raise ValueError("wildcards and exceptions must be written out")
-    return tuple(sorted(x for x in found if x and "." in x))
-
-
-def _labels(host, long_suffixes):
-    """Number of labels of the longest suffix that the host ends with."""
-    out = F.lit(1)
-    for n in sorted({x.count(".") + 1 for x in long_suffixes}):
-        own = [x for x in long_suffixes if x.count(".") + 1 == n]
-        out = F.when(F.substring_index(host, ".", -n).isin(*own), n).otherwise(out)
-    return out
+    return tuple(sorted(x for x in found if x))
+
+
+def _labels(host, suffixes):
+    """Number of labels of the host's suffix: that of the longest rule that fits, one less for exceptions, 1 if none does."""
+    if suffixes is None:
+        return F.when(host.rlike(rf"(^|\.)({'|'.join(SECOND_LEVELS)})\.[a-z]{{2}}$"), 2).otherwise(1)
+    out, exceptions = F.lit(1), F.lit(None).cast("int")
+    by: dict[tuple[int, str], list[str]] = {}
+    for rule in suffixes:
+        kind, name = ("!", rule[1:]) if rule.startswith("!") else ("*", rule[2:]) if rule.startswith("*.") else ("", rule)
+        by.setdefault((name.count(".") + 1 + (kind == "*"), kind), []).append(name)
+    for (n, kind), names in sorted(by.items()):
+        fits = F.substring_index(host, ".", -(n - (kind == "*"))).isin(*names)
+        if kind == "!":
+            exceptions = F.when(fits, n - 1).otherwise(exceptions)
+        else:
+            out = F.when(fits & (F.size(F.split(host, r"\.")) >= n), n).otherwise(out)
+    return F.coalesce(exceptions, out)
 
 
 def _last(host, n):
@@ -68,12 +75,12 @@ def _last(host, n):
     return F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - n + 1), n), ".")
 
 
-def suffix_of(host, long_suffixes=LONG_SUFFIXES):
-    return _last(host, _labels(host, long_suffixes))
+def suffix_of(host, suffixes=None):
+    return _last(host, _labels(host, suffixes))
 
 
-def domain_of(host, long_suffixes=LONG_SUFFIXES):
-    return _last(host, _labels(host, long_suffixes) + 1)
+def domain_of(host, suffixes=None):
+    return _last(host, _labels(host, suffixes) + 1)
 
 
 def rule_of(host, path, rules=RULES):
@@ -105,16 +112,16 @@ def _shrunk(children: DataFrame, parents: DataFrame | None, key: str, up: str) -
     return both.withColumn("mean", (F.col("bad") + F.col("k") * F.col("m")) / (F.col("n") + F.col("k")))
 
 
-def reputation(hosts: DataFrame, limit: float = LIMIT, z: float = Z, long_suffixes=LONG_SUFFIXES) -> DataFrame:
+def reputation(hosts: DataFrame, limit: float = LIMIT, z: float = Z, suffixes=None) -> DataFrame:
     """host, mean, lower, blocked, n_pages, from host, n_pages, n, bad: one row for each host.
 
     Hosts without labelled pages have their domain's posterior as a prior alone.
     """
-    named = hosts.withColumns({"domain": domain_of(F.col("host"), long_suffixes), "suffix": suffix_of(F.col("host"), long_suffixes)})
+    named = hosts.withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)})
     domains = named.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = materialize(_shrunk(suffixes, None, "suffix", ""), "suffixes")
-    domains = materialize(_shrunk(domains, suffixes, "domain", "suffix").select("domain", "mean"), "domains")
+    tops = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    tops = materialize(_shrunk(tops, None, "suffix", ""), "suffixes")
+    domains = materialize(_shrunk(domains, tops, "domain", "suffix").select("domain", "mean"), "domains")
     found = _shrunk(named, domains, "host", "domain")
     size = F.col("n") + F.col("k") + 1
     lower = F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / size)
@@ -130,10 +137,10 @@ def judge(
     rows without an id or without either label say nothing, repeated labels
     count as often as they stand. A null url has an empty host and path. Hot
     hosts are looked up by broadcast, all others by shuffle. suffixes (column
-    `suffix`, MOST_SUFFIXES rows at most) are the public suffixes; without it
-    those of several labels are LONG_SUFFIXES.
+    `suffix`, MOST_SUFFIXES rows at most) are the rules of a public suffix list;
+    without it SECOND_LEVELS stand for one. Other columns are not looked at.
     """
-    long_suffixes = LONG_SUFFIXES if suffixes is None else long_suffixes_of(suffixes)
+    rules_of_suffixes = None if suffixes is None else suffix_rules(suffixes)
     url = F.col("url").cast("string")
     seen = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     outcome = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(
@@ -145,13 +152,15 @@ def judge(
         .groupBy("page_id")
         .agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     )
+    # rows without an id have keys of their own that no label has, which spreads them
+    own_key = F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("none "), F.hex(F.xxhash64("host", "path"))))
     hosts = (
-        seen.select("page_id", "host")
-        .join(told, "page_id", "left")
+        seen.select("host", own_key.alias("key"))
+        .join(told.select(F.col("page_id").cast("string").alias("key"), "n", "bad"), "key", "left")
         .groupBy("host")
         .agg(F.count("*").alias("n_pages"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     )
-    known = materialize(reputation(materialize(hosts, "hosts"), limit, z, long_suffixes), "reputation")
+    known = materialize(reputation(materialize(hosts, "hosts"), limit, z, rules_of_suffixes), "reputation")
     told_by = F.col("_found")
     verdict, rule = rule_of(F.col("host"), F.col("path"), rules)
     return lookup(seen, "host", known, "n_pages").select(
