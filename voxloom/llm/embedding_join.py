@@ -277,9 +277,9 @@ def near_vectors(rows: DataFrame, similarity: float = SIMILARITY, recall: float
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.select("node", "copies", "first_id").join(linked, "node", "left").join(links, "node", "left")
     known = known.withColumn("component", F.coalesce("component", "node"))
-    firsts = known.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    known = known.join(firsts, "component").select(
-        "node", "copies", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
+    firsts = known.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
+    known = lookup(known, "component", firsts, "n").select(
+        "node", "copies", "_found.component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
     )
     found = lookup(packed.select("vec_id", "node"), "node", materialize(known, "components"), "copies")
     component_id = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("_found.component_id"))

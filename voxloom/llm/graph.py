@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lookup, materialize
 
 MOST_ROUNDS = 60
 
@@ -20,16 +20,20 @@ def components(edges: DataFrame) -> DataFrame:
     Each round points every neighbour above a node to the smallest neighbour and
     then every node to its smallest; edges only ever shrink towards stars, and
     it ends when a round changes nothing. Edges with a null and loops say nothing.
+    The centre of a large star is a hot key, so smallest neighbours are looked up
+    as hot keys are.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a is not null and b is not null and a <> b")
     e = materialize(e.distinct(), "edges")
     state = _state(e)
     for _ in range(MOST_ROUNDS):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        above = lookup(both.where("v > u"), "u", low, "n")
+        large = above.select(F.col("v").alias("u"), F.col("_found.m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = lookup(large, "u", low, "n").where("v <> _found.m").select(F.col("v").alias("u"), F.col("_found.m").alias("v"))
+        low = low.select("u", "m")
         e = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
         state, before = _state(e), state
         if state == before:

@@ -333,9 +333,9 @@ def _classes(
     grouped = candidate_groups(nodes, similarity, small)
     grouped = materialize(grouped.hint("merge").join(nodes.select("node", "copies", "first_id", "size"), "node"), "groups")
     n_blocks = grouped.groupBy("component").agg(
-        F.greatest(F.ceil(F.sum("size") / block_shingles), F.ceil(F.count("*") / block_nodes)).alias("n_blocks")
+        F.greatest(F.ceil(F.sum("size") / block_shingles), F.ceil(F.count("*") / block_nodes)).alias("n_blocks"), F.count("*").alias("n")
     )
-    tasks = _in_blocks(grouped.join(n_blocks, "component"), F.col("component"), F.col("n_blocks"))
+    tasks = _in_blocks(lookup(grouped, "component", n_blocks, "n"), F.col("component"), F.col("_found.n_blocks"))
     tasks = materialize(tasks.select("task", "lo", "hi", "own", "node", "copies", "first_id"), "pairs-of-blocks")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
     texts = by_bitmap(texts, "id", tasks.select("first_id")).where("_maybe")
@@ -353,9 +353,9 @@ def _classes(
         )
     )
     first = F.min(F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("class_id"), F.col("node").alias("chosen")))
-    firsts = known.groupBy("component").agg(first.alias("first")).select("component", "first.class_id", "first.chosen")
-    own = known.join(firsts.hint("merge"), "component").select(
-        "node", "copies", "class_id", "links", (F.col("copies") - 1).alias("others"), (F.col("node") == F.col("chosen")).alias("chosen")
+    firsts = known.groupBy("component").agg(first.alias("first"), F.count("*").alias("n")).select("component", "first.class_id", "first.chosen", "n")
+    own = lookup(known, "component", firsts, "n").select(
+        "node", "copies", "_found.class_id", "links", (F.col("copies") - 1).alias("others"), (F.col("node") == F.col("_found.chosen")).alias("chosen")
     )
     known = materialize(own, "classes")
     found = lookup(signed.select("doc_id", "node"), "node", known, "copies")
