@@ -3,7 +3,8 @@
 Documents with equal shingle sets are one node. In each of RUNS runs every set
 chooses each of its shingles with probability 1 / (similarity * size), which
 puts it into a bucket for each one chosen; in buckets of more than SMALL sets
-the choice is repeated among each set's shingles, DEPTH levels deep at most. Two
+the choice is repeated among each set's shingles, DEPTH levels deep at most (only
+sets in such buckets are read again). Two
 sets of the wanted similarity share a child of a common bucket with expectation
 1 at least, so all runs together meet them with the target recall. Buckets are
 compared by brute force on sketches (large ones of the last level block by
@@ -87,8 +88,13 @@ def sketch(hashes: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def chosen_paths(sets: list[np.ndarray], runs: int, similarity: float, depth: int) -> list[list[list[int | None]]]:
-    """For each set its paths: ids of the buckets that it is in at levels 1 to depth, null where nothing was chosen."""
+def chosen_paths(
+    sets: list[np.ndarray], runs: int, similarity: float, depth: int, within: list[set[int]] | None = None
+) -> list[list[list[int | None]]]:
+    """For each set its paths: ids of the buckets that it is in at levels 1 to depth, null where nothing was chosen.
+
+    With `within`, only those whose first bucket is among the set's own.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
     tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     ends = np.cumsum(sizes)
@@ -115,6 +121,9 @@ def chosen_paths(sets: list[np.ndarray], runs: int, similarity: float, depth: in
                 hit = np.flatnonzero(chance < limit[of[owner]])
                 own = owner[hit]
                 child = mix64(paths[own, 0] * np.uint64(0xC2B2AE3D27D4EB4F) ^ tokens[pick[hit]])
+                if within is not None and not level:
+                    wanted = [c in within[i] for i, c in zip(of[own].tolist(), child.view(np.int64).tolist(), strict=True)]
+                    own, child = own[wanted], child[wanted]
                 kept_of.append(of[own])
                 kept_chain.append(np.concatenate((chains[own], child[:, None]), 1))
                 kept_path.append(child)
@@ -136,26 +145,48 @@ def node_of(hashes: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """doc_id, node, size, sketch, paths: a row for each row of docs; node is null for a text without words."""
+    """doc_id, node, size, sketch, buckets (of level 1): a row for each row of docs; node is null for a text without words."""
     runs = runs_for(recall)
 
     def sign(batches):
         for batch in batches:
             for at, texts in slices(batch, limit=1 << 20):
                 sets = shingle_sets(texts, words)
+                paths = chosen_paths(sets, runs, similarity, 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(texts)),
                         pa.array([node_of(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([sketch(s) for s in sets], pa.binary()),
-                        pa.array(chosen_paths(sets, runs, similarity, DEPTH), pa.list_(pa.list_(pa.int64()))),
+                        pa.array([sorted({p[0] for p in own}) for own in paths], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "node", "size", "sketch", "paths"],
+                    ["doc_id", "node", "size", "sketch", "buckets"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, sign, "doc_id long, node binary, size long, sketch binary, paths array<array<long>>")
+    return map_batches(rows, sign, "doc_id long, node binary, size long, sketch binary, buckets array<long>")
+
+
+def _deeper(docs: DataFrame, marked: DataFrame, words: int, similarity: float, recall: float) -> DataFrame:
+    """node, paths: the paths of nodes (marked: node, first_id, large) whose first bucket is among the large ones, from their texts."""
+    runs = runs_for(recall)
+
+    def deepen(batches):
+        for batch in batches:
+            for at, texts in slices(batch, limit=1 << 20):
+                wanted, large = (batch.column(k).slice(at, len(texts)).to_pylist() for k in (0, 1))
+                sets = shingle_sets(texts, words)
+                own = [i for i, s in enumerate(sets) if node_of(s) == wanted[i]]
+                paths = chosen_paths([sets[i] for i in own], runs, similarity, DEPTH, [set(large[i]) for i in own])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([wanted[i] for i in own], pa.binary()), pa.array(paths, pa.list_(pa.list_(pa.int64())))], ["node", "paths"]
+                )
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
+    texts = by_bitmap(texts, "id", marked.select("first_id")).where("_maybe")
+    rows = marked.hint("merge").join(texts, marked["first_id"].eqNullSafe(texts["id"])).select("node", "large", "text")
+    return map_batches(rows, deepen, "node binary, paths array<array<long>>")
 
 
 def _similar(sketches: np.ndarray, sizes: np.ndarray, i: int, others: np.ndarray, similarity: float) -> np.ndarray:
@@ -204,25 +235,27 @@ def _in_blocks(rows: DataFrame, key, n_blocks):
     return pairs.withColumn("task", F.concat(key.cast("binary"), F.encode(F.format_string(":%d:%d", "lo", "hi"), "utf-8")))
 
 
-def candidate_groups(nodes: DataFrame, similarity: float = SIMILARITY, small: int = SMALL) -> DataFrame:
+def _counted(here: DataFrame) -> DataFrame:
+    """here (node, bucket) with n, the bucket's number of nodes, of two at least; hot buckets are looked up by broadcast."""
+    counts = materialize(here.groupBy("bucket").agg(F.count("*").alias("weight")).where("weight > 1"), "buckets")
+    told = lookup(here, "bucket", counts.withColumn("n", F.col("weight")), "weight").where("_found is not null")
+    return materialize(told.select("node", "bucket", "_found.n"), "members")
+
+
+def candidate_groups(
+    docs: DataFrame, nodes: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL, small: int = SMALL
+) -> DataFrame:
     """node, component: nodes that sketches in common buckets put into one group, of two nodes at least."""
-    members = large = None
-    for level in range(1, DEPTH + 1):
-        if level == 1:
-            here = nodes.select("node", F.explode(F.array_distinct(F.transform("paths", lambda p: p[0]))).alias("bucket"))
-        else:
-            above, own = level - 2, level - 1
-            pairs = F.array_distinct(F.transform("paths", lambda p: F.struct(p[above].alias("above"), p[own].alias("bucket"))))  # noqa: B023
-            here = nodes.select("node", F.explode(pairs).alias("p")).select("node", "p.above", "p.bucket")
-            here = here.join(large.withColumnRenamed("bucket", "above"), "above", "left_semi").select("node", "bucket").distinct()
-        here = here.where("bucket is not null")
-        counts = materialize(here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-        final = counts if level == DEPTH else counts.where(F.col("n") <= small)
-        found = here.join(final.hint("merge"), "bucket")
-        members = found if members is None else members.unionByName(found)
-        large = materialize(counts.where(F.col("n") > small).select("bucket"), "large-buckets")
-        if not large.head(1):
-            break
+    told = _counted(nodes.select("node", F.explode("buckets").alias("bucket")))
+    members, large = told.where(F.col("n") <= small), told.where(F.col("n") > small)
+    if large.head(1):
+        marked = large.groupBy("node").agg(F.collect_set("bucket").alias("large")).hint("merge").join(nodes.select("node", "first_id"), "node")
+        paths = _deeper(docs, materialize(marked, "in-large-buckets"), words, similarity, recall)
+        paths = materialize(paths.select("node", F.explode("paths").alias("p")).select("node", F.col("p")[1].alias("second"), F.col("p")[2].alias("third")), "paths")
+        told = _counted(paths.select("node", F.col("second").alias("bucket")).where("bucket is not null").distinct())
+        above = told.where(F.col("n") > small).select("node", F.col("bucket").alias("second"))
+        last = paths.join(above.hint("merge"), ["node", "second"], "left_semi").select("node", F.col("third").alias("bucket"))
+        members = members.unionByName(told.where(F.col("n") <= small)).unionByName(_counted(last.where("bucket is not null").distinct()))
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / small))
     tasks = _in_blocks(members, F.col("bucket").cast("string"), n_blocks).select("node", "task")
     tasks = tasks.hint("merge").join(nodes.select("node", "size", "sketch"), "node")
@@ -326,11 +359,11 @@ def _classes(
             F.min("doc_id").alias("first_id"),
             F.max("size").alias("size"),
             F.max("sketch").alias("sketch"),
-            F.max("paths").alias("paths"),
+            F.max("buckets").alias("buckets"),
         ),
         "nodes",
     )
-    grouped = candidate_groups(nodes, similarity, small)
+    grouped = candidate_groups(docs, nodes, words, similarity, recall, small)
     grouped = materialize(grouped.hint("merge").join(nodes.select("node", "copies", "first_id", "size"), "node"), "groups")
     n_blocks = grouped.groupBy("component").agg(
         F.greatest(F.ceil(F.sum("size") / block_shingles), F.ceil(F.count("*") / block_nodes)).alias("n_blocks"), F.count("*").alias("n")
