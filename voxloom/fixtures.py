@@ -49,7 +49,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array().cast("array<bigint>"),
         lambda acc, x: F.concat(acc, F.array(x + F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)))),
     )
-    rows = rows.withColumn("positions", running)
+    # a filter on what is made of positions would be pushed below and repeat the fold; nothing is pushed through a generator
+    rows = rows.select(F.inline(F.array(F.struct("vec_id", "label", "n", running.alias("positions")))))
     recording = F.floor(F.col("vec_id") / 8).cast("bigint")
     return rows.select(
         F.format_string("r%03d_%04d", recording, F.col("vec_id") % 8).alias("segment_id"),

@@ -1,12 +1,15 @@
 """Voice activity, transcription and encoding by pluggable models.
 
-A backend is loaded once for each task, before its first row. A batch that
-fails is tried again one by one; what still fails has an error or is left out,
-as the operator says.
+A backend is loaded once for each worker, before its first row, and stays for
+the tasks that follow. A batch that fails is tried again one by one; what still
+fails has an error or is left out, as the operator says, and a column tells which
+way a result came. Waveforms are read as views of Arrow's buffers, in batches
+bounded in bytes.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import Protocol
 
@@ -26,26 +29,69 @@ class Transcriber(Protocol):
 
 
 class FeatureEncoder(Protocol):
-    """Each result has token_ids, positions and encoder_features, trimmed to their true length."""
+    """Each result has positions, encoder_features and, unless texts come as token ids, token_ids.
+
+    A result with `length` is trimmed to so many tokens, else it is taken as it is.
+    """
+
+    def encode(self, waveforms: list, texts: list, sample_rate: int) -> list[dict]: ...
+
+
+#: The way that a result came: with its batch, alone after the batch failed, or not at all.
+BATCH, ALONE, FAILED = "batch", "alone", "failed"
+
+_LOADED: dict[str, object] = {}
 
-    def encode(self, waveforms: list, texts: list[str], sample_rate: int) -> list[dict]: ...
 
+def loaded(key: str, load: Callable[[], object]):
+    """What load gives, once for each worker and key."""
+    if key not in _LOADED:
+        _LOADED[key] = load()
+    return _LOADED[key]
 
-def batch_or_each(run: Callable[[list], list], items: list, missing):
-    """run(items), or item by item where that fails; an item that fails alone is `missing`."""
+
+def batch_or_each(run: Callable[[list], list], items: list, missing) -> tuple[list, list[str]]:
+    """run(items), or item by item where that fails, and the way of each; an item that fails alone is `missing`."""
     try:
         out = list(run(items))
         if len(out) == len(items):
-            return out
+            return out, [BATCH] * len(items)
     except Exception:  # tried again below
         pass
-    out = []
+    out, ways = [], []
     for item in items:
         try:
             out.append(list(run([item]))[0])
+            ways.append(ALONE)
         except Exception:
             out.append(missing)
-    return out
+            ways.append(FAILED)
+    return out, ways
+
+
+def waveforms_of(column) -> list:
+    """Each list of an Arrow column as a view of its numbers; null as empty."""
+    import numpy as np
+    import pyarrow as pa
+
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    values = column.values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+    ends = column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+#: Bytes of a batch of waveforms; a longer one is a batch of its own.
+BATCH_BYTES = 64 << 20
+
+
+def _map(df: DataFrame, run, schema: str) -> DataFrame:
+    """df.mapInArrow with batches of BATCH_BYTES, unless the session bounds them itself."""
+    ship(df.sparkSession)
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name, None) is None:
+        conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
 
 
 def _text(x) -> str:
@@ -59,67 +105,75 @@ def _text(x) -> str:
 def voice_activity(waveforms: DataFrame, load: Callable[[], VoiceActivity]) -> DataFrame:
     """recording_id, seq, s, e of each waveform that could be decoded; a model's error fails the task."""
 
+    key = uuid.uuid4().hex
+
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        model = load()
+        model = loaded(key, load)
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                found = model.intervals(np.asarray(r["samples"], np.float32), r["sample_rate"])
-                rows += [{"recording_id": r["recording_id"], "seq": i, "s": float(s), "e": float(e)} for i, (s, e) in enumerate(found)]
+            for name, x, rate in zip(batch.column(0).to_pylist(), waveforms_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                rows += [{"recording_id": name, "seq": i, "s": float(s), "e": float(e)} for i, (s, e) in enumerate(model.intervals(x, rate))]
             kinds = pa.schema([("recording_id", pa.string()), ("seq", pa.int64()), ("s", pa.float64()), ("e", pa.float64())])
             yield pa.RecordBatch.from_pylist(rows, kinds)
 
-    ship(waveforms.sparkSession)
-    return waveforms.where("error is null").select("recording_id", "samples", "sample_rate").mapInArrow(run, schemas.INTERVAL)
+    return _map(waveforms.where("error is null").select("recording_id", "samples", "sample_rate"), run, schemas.INTERVAL)
 
 
 def transcribed(slices: DataFrame, load: Callable[[], Transcriber], settings: Settings) -> DataFrame:
-    """slices with `text`, in batches; texts stay with their segments, a failure or a missing one is empty and goes."""
-    size, rate, to = settings.batch_size, settings.sample_rate, settings.asr_sample_rate
+    """slices with `text` and `text_way`, in batches; texts stay with their segments, a failure or a missing one is empty and goes."""
+    size, rate, to, key = settings.batch_size, settings.sample_rate, settings.asr_sample_rate, uuid.uuid4().hex
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         from voxloom.functions.audio import resampled
 
-        model = load()
+        model = loaded(key, load)
         for batch in batches:
-            rows = batch.to_pylist()
+            waves = waveforms_of(batch.column(batch.schema.get_field_index("samples")))
             texts: list[str] = []
-            for i in range(0, len(rows), size):
-                waves = [resampled(np.asarray(r["samples"], np.float32), rate, to) for r in rows[i : i + size]]
-                texts += map(_text, batch_or_each(lambda w: model.texts(w, to), waves, ""))
+            ways: list[str] = []
+            for i in range(0, len(waves), size):
+                found, own = batch_or_each(lambda w: model.texts(w, to), [resampled(x, rate, to) for x in waves[i : i + size]], "")
+                texts += map(_text, found)
+                ways += own
             keep = [i for i, t in enumerate(texts) if t]
             out = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array([texts[i] for i in keep], pa.string())], [*out.schema.names, "text"])
+            more = [pa.array([x[i] for i in keep], pa.string()) for x in (texts, ways)]
+            yield pa.RecordBatch.from_arrays([*out.columns, *more], [*out.schema.names, "text", "text_way"])
 
-    ship(slices.sparkSession)
-    return slices.mapInArrow(run, f"{_ddl(slices)}, text string")
+    return _map(slices, run, f"{_ddl(slices)}, text string, text_way string")
 
 
-def encoded(segments: DataFrame, load: Callable[[], FeatureEncoder], settings: Settings) -> DataFrame:
-    """segment_id, recording_id, token_ids, encoder_features, positions, duration_frames; items that fail are left out.
+def encoded(
+    segments: DataFrame,
+    load: Callable[[], FeatureEncoder],
+    settings: Settings,
+    normalise: Callable[[str], str] | None = None,
+    tokeniser: Callable[[], Callable[[str], list[int]]] | None = None,
+) -> DataFrame:
+    """segment_id, recording_id, token_ids, encoder_features, positions, duration_frames, way; items that fail are left out.
 
     Batches hold up to batch_size segments; duration_frames is what the slice's
-    samples give.
+    samples give. normalise rewrites each text first; what tokeniser loads, once
+    for each worker, turns it into the token ids that the encoder gets in place
+    of texts.
     """
     from pyspark.sql import functions as F
 
     from voxloom.functions.durations import total_frames
 
-    size, rate = settings.batch_size, settings.sample_rate
+    size, rate, key = settings.batch_size, settings.sample_rate, uuid.uuid4().hex
     frames = total_frames(F.size("samples"), rate, settings.frame_rate).alias("duration_frames")
     rows = segments.select("segment_id", "recording_id", "samples", "text", frames)
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        model = load()
+        model = loaded(key, load)
+        tokens = loaded(f"{key}-tokens", tokeniser) if tokeniser else None
         kinds = pa.schema(
             [
                 ("segment_id", pa.string()),
@@ -128,28 +182,41 @@ def encoded(segments: DataFrame, load: Callable[[], FeatureEncoder], settings: S
                 ("encoder_features", pa.list_(pa.list_(pa.float32()))),
                 ("positions", pa.list_(pa.int64())),
                 ("duration_frames", pa.int64()),
+                ("way", pa.string()),
             ]
         )
+
+        def encode(items: list) -> list[dict]:
+            texts = [normalise(t) if normalise else t for _, t in items]
+            ids = [list(tokens(t)) for t in texts] if tokens else None
+            found = list(model.encode([w for w, _ in items], ids or texts, rate))
+            return [trimmed({"token_ids": ids[i]} | f if ids else f) for i, f in enumerate(found)]
+
         for batch in batches:
-            rows = batch.to_pylist()
-            for i in range(0, len(rows), size):
-                some = rows[i : i + size]
-                items = [(np.asarray(r["samples"], np.float32), r["text"]) for r in some]
-                found = batch_or_each(lambda x: model.encode([w for w, _ in x], [t for _, t in x], rate), items, None)
+            names, recordings, _, texts, lengths = (c.to_pylist() if i != 2 else None for i, c in enumerate(batch.columns))
+            waves = waveforms_of(batch.column(2))
+            for i in range(0, len(names), size):
+                found, ways = batch_or_each(encode, list(zip(waves[i : i + size], texts[i : i + size], strict=True)), None)
                 out = [
-                    {k: r[k] for k in ("segment_id", "recording_id", "duration_frames")} | {k: f[k] for k in ("token_ids", "encoder_features", "positions")}
-                    for r, f in zip(some, found, strict=True)
+                    {"segment_id": names[i + k], "recording_id": recordings[i + k], "duration_frames": lengths[i + k], "way": ways[k]} | f
+                    for k, f in enumerate(found)
                     if f is not None
                 ]
                 yield pa.RecordBatch.from_pylist(out, kinds)
 
-    ship(rows.sparkSession)
-    return rows.mapInArrow(
+    return _map(
+        rows,
         run,
-        "segment_id string, recording_id string, token_ids array<bigint>, encoder_features array<array<float>>, positions array<bigint>, duration_frames bigint",
+        "segment_id string, recording_id string, token_ids array<bigint>, encoder_features array<array<float>>, positions array<bigint>, duration_frames bigint, way string",
     )
 
 
+def trimmed(result: dict) -> dict:
+    """A result's three lists, cut to its length if it tells one."""
+    n = result.get("length")
+    return {k: result[k] if n is None else result[k][:n] for k in ("token_ids", "encoder_features", "positions")}
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
@@ -189,11 +256,12 @@ class EvenEncoder:
     def encode(self, waveforms: list, texts: list[str], sample_rate: int) -> list[dict]:
         out = []
         for w, text in zip(waveforms, texts, strict=True):
-            n = len(text.split())
+            ids = [len(t) for t in text.split()] if isinstance(text, str) else text
+            n = len(ids)
             frames = int(len(w) / sample_rate * self.frame_rate)
             out.append(
                 {
-                    "token_ids": [len(t) for t in text.split()],
+                    "token_ids": ids,
                     "positions": [i * frames // max(n, 1) for i in range(n)],
                     "encoder_features": [[float(i)] * self.width for i in range(n)],
                 }

@@ -38,21 +38,28 @@ def with_gaps(samples: DataFrame) -> DataFrame:
 
 
 def manifest(judged_samples: DataFrame, settings: Settings, root: str = "features") -> DataFrame:
-    """A row for each sample that passes; feature_path is relative to the data root."""
+    """A row for each sample that passes; feature_path is relative to the data root: the sample's `file`, or one of its own."""
+    name = F.col("file") if "file" in judged_samples.columns else F.concat(F.col("segment_id"), F.lit(".pt"))
     return judged_samples.where("reason is null").select(
         "segment_id",
         F.lit(settings.dataset).alias("dataset"),
         F.size("token_ids").cast("bigint").alias("num_tokens"),
         "duration_frames",
-        F.concat(F.lit(f"{root}/"), F.col("segment_id"), F.lit(".pt")).alias("feature_path"),
+        F.concat(F.lit(f"{root}/"), name).alias("feature_path"),
     )
 
 
 def rejection_counts(judged_samples: DataFrame) -> DataFrame:
-    """reason, n, pct and the total over all reasons, kept ones included."""
+    """reason, n, pct and the total over all reasons, kept ones included, the most frequent first."""
     counts = judged_samples.groupBy(F.coalesce("reason", F.lit(KEPT)).alias("reason")).agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy())
-    return counts.withColumn("total", total).select("reason", "n", percentage(F.col("n"), F.col("total")).alias("pct"), "total")
+    rows = counts.withColumn("total", total).select("reason", "n", percentage(F.col("n"), F.col("total")).alias("pct"), "total")
+    return rows.orderBy(F.desc("n"), "reason")
+
+
+def with_unreadable(judged_samples: DataFrame, files: DataFrame) -> DataFrame:
+    """The reasons of judged samples and one load error for each file that can't be read."""
+    return judged_samples.select("reason").unionByName(files.select(F.lit(UNREADABLE).alias("reason")))
 
 
 def manifest_totals(entries: DataFrame, settings: Settings) -> DataFrame:

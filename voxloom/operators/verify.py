@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom.config import Settings
 from voxloom.functions.arrays import has_shape, missing_keys
-from voxloom.operators.split import TRAIN, VAL, shared_recordings
+from voxloom.operators.split import overlap
 from voxloom.schemas import REQUIRED_KEYS
 
 
@@ -36,8 +36,7 @@ def results(checks: DataFrame, assigned_manifest: DataFrame) -> DataFrame:
     """check, passed: a row for each split that has entries, and one for disjointness."""
     keys = checks.groupBy("split").agg(F.bool_and("passed").alias("passed"))
     keys = keys.select(F.concat("split", F.lit("_keys")).alias("check"), "passed")
-    shared = shared_recordings(assigned_manifest.where(F.col("split") == TRAIN), assigned_manifest.where(F.col("split") == VAL))
-    disjoint = shared.agg((F.count("*") == 0).alias("passed")).select(F.lit("disjoint").alias("check"), "passed")
+    disjoint = overlap(assigned_manifest).agg((F.count("*") == 0).alias("passed")).select(F.lit("disjoint").alias("check"), "passed")
     return keys.unionByName(disjoint)
 
 

@@ -129,7 +129,7 @@ select recording_id, count(*) n_segments, (sum(ms)::double / count(*)) / 1000::d
         "segment_slice_offsets_pack": f"with recursive {_offsets(_PACK_SEGMENTS, 6, 5)} select * from offsets",
         "total_frames": f"""with {_offsets(_MERGE_SEGMENTS, 4, 1)}
 select segment_id, trunc((end_sample - start_sample)::double / 24000::double * 50::double)::bigint frames from offsets""",
-        "sliced_samples": f"with {_SAMPLES} select segment_id, {_TEXT.format('token_ids[3:n - 2]')} samples from f2 where n > 4",
+        "sliced_samples": f"with {_SAMPLES} select segment_id, {_TEXT.format('token_ids[3:n - 2]')} samples from f2",
         "frame_gaps": f"""with {_SAMPLES}
 select segment_id,
   {_TEXT.format("list_transform(range(1, n + 1), lambda i: greatest(0, case when i = 1 then positions[1] else positions[i] - positions[i - 1] - 1 end))")} f_before,
@@ -161,7 +161,7 @@ coalesce(sum(num_tokens), 0)::bigint tokens from manifest""",
 regexp_replace(text, '^\s+|\s+$', '', 'g') text from conversations
 where turn % 5 <> 3 and regexp_replace(text, '^\s+|\s+$', '', 'g') <> ''""",
         "segments_with_text": r"""select 'c' || conv_id recording_id, turn idx, regexp_replace(text, '^\s+|\s+$', '', 'g') text from conversations
-where turn % 5 <> 3 and turn % 2 = 0 and regexp_replace(text, '^\s+|\s+$', '', 'g') <> ''""",
+where turn % 5 <> 3 and regexp_replace(text, '^\s+|\s+$', '', 'g') <> ''""",
         "name_parts": f"""with {_REMOTE} select key, name, replace(name, '.mp3', '') stem, recording_id,
 recording_id || '_' || (length(key) * 100)::varchar segment_id, recording_id of_segment, true is_public from remote""",
         "listed_recordings": f"with {_REMOTE} select name, size from remote",

@@ -88,10 +88,14 @@ def total_frames(spark, sf_dir):
 
 @query
 def sliced_samples(spark, sf_dir):
-    """Slices of a made-up waveform whose samples are their own numbers, by vector."""
-    rows = fixtures.samples(spark, sf_dir).where("size(token_ids) > 4")
-    cut = F.slice("token_ids", F.lit(3), F.size("token_ids") - 4)
-    return rows.select("segment_id", _joined(cut).alias("samples"))
+    """Slices of made-up waveforms, the token ids, by the operator: all but two samples at either end, as far as there are any."""
+    rows = fixtures.samples(spark, sf_dir)
+    waves = rows.select(F.col("segment_id").alias("recording_id"), F.col("token_ids").alias("samples"))
+    start = F.least(F.lit(2), F.size("token_ids"))
+    offsets = rows.select(
+        "segment_id", F.col("segment_id").alias("recording_id"), start.alias("start_sample"), F.greatest(start, F.size("token_ids") - 2).alias("end_sample")
+    )
+    return intervals.sliced(offsets, waves).select("segment_id", _joined("samples").alias("samples"))
 
 
 # arrays
@@ -175,7 +179,7 @@ def manifest(spark, sf_dir):
 
 @query
 def rejection_stats(spark, sf_dir):
-    return quality.rejection_counts(_judged(spark, sf_dir)).orderBy(F.desc("n"), "reason")
+    return quality.rejection_counts(_judged(spark, sf_dir))
 
 
 @query
@@ -192,7 +196,7 @@ def transcripts_nonempty(spark, sf_dir):
 @query
 def segments_with_text(spark, sf_dir):
     rows = fixtures.transcripts(spark, sf_dir)
-    return transcripts.attached(rows.select("recording_id", "idx").where("idx % 2 = 0"), rows, ["recording_id", "idx"])
+    return transcripts.attached(rows.select("recording_id", "idx"), rows, ["recording_id", "idx"])
 
 
 # resume and transfer
@@ -322,8 +326,7 @@ def split_summary(spark, sf_dir):
 
 @query
 def split_disjoint(spark, sf_dir):
-    rows = _assigned(spark, sf_dir)
-    return split.shared_recordings(rows.where("split = 'train'"), rows.where("split = 'val'"))
+    return split.overlap(_assigned(spark, sf_dir))
 
 
 @query

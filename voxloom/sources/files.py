@@ -22,11 +22,16 @@ def _binary(spark: SparkSession, path: str, pattern: str) -> DataFrame | None:
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """key, size of each file; contents aren't read. No rows if the folder doesn't exist."""
+    """key, size of each file, in order of the key; contents aren't read. No rows if the folder doesn't exist."""
     found = _binary(spark, path, pattern)
     if found is None:
         return spark.createDataFrame([], schemas.LISTING)
-    return found.select(F.col("path").alias("key"), F.col("length").alias("size"))
+    return found.select(F.col("path").alias("key"), F.col("length").alias("size")).orderBy("key")
+
+
+def first_of_each(files: DataFrame) -> DataFrame:
+    """recording_id, path: the first file, in order, of each recording that files (name, path) hold."""
+    return files.groupBy(recording_of_file(F.col("name")).alias("recording_id")).agg(F.min("path").alias("path"))
 
 
 def recordings(spark: SparkSession, path: str, pattern: str = "*.mp3") -> DataFrame:
@@ -55,7 +60,7 @@ def decoded(rows: DataFrame, decode: Callable[[bytes], tuple], sample_rate: int)
                 samples, n, error = None, 0, None
                 try:
                     channels, rate = decode(row["content"])
-                    x = resampled(mono(np.asarray(channels, np.float32)), rate, sample_rate)
+                    x = np.asarray(resampled(mono(np.asarray(channels, np.float32)), rate, sample_rate), np.float32)
                     samples, n = x, len(x)
                 except Exception as e:  # the row says so
                     error = f"{type(e).__name__}: {e}"
