@@ -89,3 +89,14 @@ def test_batches_are_bounded_in_bytes(spark):
     df = spark.range(60, numPartitions=1).selectExpr("repeat('x', 500000) t")
     found = [r["n"] for r in C.map_batches(df, sizes, "n long").collect()]
     assert len(found) >= 7 and max(found) <= C.BATCH_BYTES + 600_000
+
+
+def test_what_is_written_within_is_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(C, "shared_dir", lambda s: f"file://{tmp_path}")
+    kept = C.materialize(spark.range(7), "kept")
+    with C.temporary(spark):
+        C.materialize(spark.range(5), "x")
+        C.bucketed(spark.range(5), "id", "y", 2)
+        assert len(list((tmp_path / "voxloom").iterdir())) == 3
+    assert kept.count() == 7 and len(list((tmp_path / "voxloom").iterdir())) == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("voxloom_y")]

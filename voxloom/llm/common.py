@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -46,10 +47,34 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/voxloom/{name}-{uuid.uuid4().hex}"
 
 
+#: What has been written within each `temporary` that is open: folders, and names of tables.
+_MADE: list[list[tuple[str, str | None]]] = []
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession):
+    """Deletes at its end what the operators have written within; their results must have been written elsewhere by then."""
+    _MADE.append([])
+    try:
+        yield
+    finally:
+        for path, table_name in _MADE.pop():
+            if table_name:
+                spark.sql(f"drop table if exists `{table_name}`")
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _made(path: str, table_name: str | None = None) -> str:
+    if _MADE:
+        _MADE[-1].append((path, table_name))
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: lineage ends there, lost executors cost nothing before it."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = _made(shared_path(spark, name))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -73,7 +98,7 @@ def bucketed(df: DataFrame, key: str, name: str, n: int) -> DataFrame:
     """df written to the shared folder as a table in n buckets of the key: joins on it move the other side only."""
     spark = df.sparkSession
     table_name = f"voxloom_{name}_{uuid.uuid4().hex}"
-    df.write.option("path", shared_path(spark, name)).bucketBy(n, key).saveAsTable(table_name)
+    df.write.option("path", _made(shared_path(spark, name), table_name)).bucketBy(n, key).saveAsTable(table_name)
     return spark.table(table_name)
 
 
