@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, slices, text_bytes
+from .common import map_batches, materialize, release, slices, text_bytes
 
 #: Bound of the training sample: documents, half of them of each label if there are as many.
 TRAIN_ROWS = 3000
 #: Bytes of the sample and of a document in it; what is beyond isn't trained on.
 TRAIN_BYTES, LONGEST = 64 << 20, 1 << 20
 #: Chunks that training holds at a time.
-GROUP_CHUNKS = 1024
+GROUP_CHUNKS = 256
 FOLDS = 5
 THRESHOLD = 0.3
 BLOCK, WIDTH, STEP = 128, 8, 4
@@ -243,9 +243,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     sample = materialize(own, "quality-sample")
     size = F.sum(F.octet_length("text")).over(Window.orderBy("rank", "doc_id"))
     within = sample.select("doc_id", (size <= TRAIN_BYTES).alias("within")).where("within")
-    found = sample.join(F.broadcast(within), "doc_id").select("rank", "doc_id", "label", "text").collect()
-    found = sorted((r["rank"], r["doc_id"], r["label"], bytes(r["text"])) for r in found)
-    return [t for *_, t in found], np.array([y for _, _, y, _ in found], np.int64)
+    found = sample.join(F.broadcast(within), "doc_id").select("rank", "doc_id", "label", "text").toArrow()
+    found = found.sort_by([("rank", "ascending"), ("doc_id", "ascending")])
+    return found.column("text").to_pylist(), found.column("label").to_numpy().astype(np.int64)
 
 
 class Constant:
@@ -261,7 +261,10 @@ class Constant:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ByteNet | Constant:
     """The network trained on the sample; with labels of one kind or none, a constant."""
     sample, y = training_sample(docs, labels, rows)
-    return ByteNet().train(sample, y) if 0 < y.sum() < len(y) else Constant(y)
+    net = ByteNet().train(sample, y) if 0 < y.sum() < len(y) else Constant(y)
+    del sample
+    release()
+    return net
 
 
 def _scores(model, batch, name: str = "text") -> np.ndarray:
