@@ -188,7 +188,7 @@ def backoff_scores(
     bits = min(64, 24 + int(total).bit_length())
     cols = ["chunk", "keys", "ends", "data"]
     sent = map_batches(packed.select(*cols), _send(order, bits, bucket_bits), "bucket int, chunk long, names binary, counts binary")
-    answers = map_batches(sent.repartition(n_tasks, "bucket").sortWithinPartitions("bucket"), _count, "chunk long, bucket int, counts binary")
+    answers = map_batches(sent.repartitionById(n_tasks, "bucket").sortWithinPartitions("bucket"), _count, "chunk long, bucket int, counts binary")
     answers = answers.repartition(n_tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts")).alias("answers"))
     told = packed.select(*cols).hint("merge").join(answers, "chunk", "left")
     return map_batches(told, _score(order, bits, total, backoff, least_count), "doc_id long, n_words long, log10_score double")
