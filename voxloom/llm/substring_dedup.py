@@ -420,12 +420,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CH
     bits = max(0, (max(1, size // bucket_bytes) - 1).bit_length())
     chunk = packed.select("chunk", "keys", "ends", "data")
     names = map_batches(chunk, _send_names(length, bits), "bucket int, chunk long, names binary, several binary")
-    answers = map_batches(names.repartition(n_tasks, "bucket").sortWithinPartitions("bucket"), _answer, "chunk long, bucket int, bits binary")
+    answers = map_batches(names.repartitionById(n_tasks, "bucket").sortWithinPartitions("bucket"), _answer, "chunk long, bucket int, bits binary")
     answers = answers.repartition(n_tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
     told = chunk.hint("merge").join(answers, "chunk")
     kinds = "bucket int, chunk long, names binary, keys binary, sizes binary, data binary, refs binary, places binary, settled binary"
     sent = map_batches(told, _send_runs(length, bits), kinds)
-    removed = map_batches(sent.repartition(n_tasks, "bucket").sortWithinPartitions("bucket"), _settle(length), "chunk long, removed binary")
+    removed = map_batches(sent.repartitionById(n_tasks, "bucket").sortWithinPartitions("bucket"), _settle(length), "chunk long, removed binary")
     removed = removed.repartition(n_tasks, "chunk").groupBy("chunk").agg(F.collect_list("removed").alias("removed"))
     whole = chunk.hint("merge").join(removed, "chunk", "left")
     cut = map_batches(whole, _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
