@@ -71,12 +71,36 @@ def got(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 2000, "bucket_bytes": 1500}])
+@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 2000, "bucket_bytes": 1500}, {"chunk_bytes": 2000, "bucket_bytes": 1500, "hot_runs": 3}, {"hot_runs": 0}])
 def test_equals_brute_force(documents, sizes):
     rows = rows_of(4) + ODD
     assert got(S.without_repeats(documents(rows, clashing=True), **sizes)) == brute(rows)
 
 
+def test_hot_gram_in_many_contexts(documents):
+    """One gram in every document: its windows differ, but for some that two documents share; no bucket gets them all."""
+    rows = [(i, text(i // 2 if i % 10 < 2 else 100 + i, 12) + " the very same phrase " + text(i // 2 if i % 10 < 2 else 500 + i, 12)) for i in range(100)]
+    rows += [(200 + i, t) for i, t in rows[:4]]
+    sizes = {"chunk_bytes": 1000, "bucket_bytes": 500}
+    assert got(S.without_repeats(documents(rows), **sizes, hot_runs=20)) == got(S.without_repeats(documents(rows), **sizes)) == brute(rows)
+
+
+def test_single_windows_spread_a_hot_name():
+    data = np.frombuffer("".join(text(i, 9) + " the very same phrase " for i in range(300)).encode(), np.uint8)
+    names, begin, stop, doc = S.runs(data, np.array([len(data)]))
+    n_runs = np.unique(names, return_counts=True)
+    hot = names == n_runs[0][n_runs[1].argmax()]
+    assert hot.sum() > 20
+    own, at, past, of = S._single_windows(data, hot, names, begin, stop, doc, 50)
+    assert sorted(np.concatenate([np.arange(b, e) for b, e in zip(at, past, strict=True)])) == sorted(
+        np.concatenate([np.arange(b, e) for b, e in zip(begin, stop, strict=True)])
+    )
+    fine = own[(~hot).sum() :]
+    windows = [data[b : b + 50].tobytes() for b in at[(~hot).sum() :]]
+    assert len(set(fine.tolist())) == len(set(windows)) == len({(n, w) for n, w in zip(fine.tolist(), windows, strict=True)})
+    assert np.unique(fine, return_counts=True)[1].max() <= 2
+
+
 def test_other_lengths(documents):
     rows = rows_of(5)
     assert got(S.without_repeats(documents(rows), 80)) == brute(rows, 80)

@@ -25,6 +25,16 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def pack_numbers(x: np.ndarray) -> bytes:
+    """Small numbers, compressed byte plane by byte plane."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
+
+
 def chunks(docs: DataFrame, chunk_bytes: int, count_words: bool = False) -> DataFrame:
     """chunk, keys, ends, data, size, words: documents packed in order of arrival.
 

@@ -26,11 +26,10 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import LAST, chunks, pack_sorted, read_chunk, unpack_sorted
+from .chunks import LAST, chunks, pack_numbers, pack_sorted, read_chunk, unpack_numbers, unpack_sorted
 from .common import bucketed, groups, map_batches, n_partitions, words_of
 
 ORDER = 3
@@ -73,16 +72,6 @@ def ngrams(words: np.ndarray, counts: np.ndarray, order: int, bits: int) -> list
     return out
 
 
-def _numbers(x: np.ndarray) -> bytes:
-    """Small numbers, compressed byte plane by byte plane."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
-
-
-def _read_numbers(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
-
-
 def _send(order: int, bits: int, bucket_bits: int):
     def send(batches):
         for batch in batches:
@@ -98,7 +87,7 @@ def _send(order: int, bits: int, bucket_bits: int):
                         pa.array(some, pa.int32()),
                         pa.array([batch.column(0)[i].as_py()] * len(some), pa.int64()),
                         pa.array([pack_sorted(names[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()),
-                        pa.array([_numbers(n[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()),
+                        pa.array([pack_numbers(n[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()),
                     ],
                     ["bucket", "chunk", "names", "counts"],
                 )
@@ -111,7 +100,7 @@ def _count(batches):
     for t in groups(batches, "bucket"):
         names = [unpack_sorted(x) for x in t.column("names").to_pylist()]
         sizes = [len(x) for x in names]
-        n = np.concatenate([_read_numbers(x) for x in t.column("counts").to_pylist()])
+        n = np.concatenate([unpack_numbers(x) for x in t.column("counts").to_pylist()])
         names = np.concatenate(names)
         order = np.argsort(names)
         first = np.flatnonzero(np.concatenate(([True], names[order[1:]] != names[order[:-1]])))
@@ -123,7 +112,7 @@ def _count(batches):
             [
                 pa.array(t.column("chunk").to_pylist(), pa.int64()),
                 pa.array(t.column("bucket").to_pylist(), pa.int32()),
-                pa.array([_numbers(known[e - s : e]) for s, e in zip(sizes, ends, strict=True)], pa.binary()),
+                pa.array([pack_numbers(known[e - s : e]) for s, e in zip(sizes, ends, strict=True)], pa.binary()),
             ],
             ["chunk", "bucket", "counts"],
         )
@@ -139,7 +128,7 @@ def _score(order: int, bits: int, total: int, backoff: float, least: int):
                 grams = ngrams(words, counts, order, bits)
                 _, at = np.unique(np.concatenate([g for g, _ in grams]), return_inverse=True)
                 answer = sorted((a["bucket"], a["counts"]) for a in answers[i].as_py() or [])
-                known = np.concatenate([_read_numbers(x) for _, x in answer] or [np.zeros(0, np.int64)])[at]
+                known = np.concatenate([unpack_numbers(x) for _, x in answer] or [np.zeros(0, np.int64)])[at]
                 logs = np.zeros(len(words))
                 before = np.zeros(len(words), np.int64)
                 done = 0

@@ -13,8 +13,11 @@ No machine holds the suffixes of the corpus, and few of them matter, so:
    each; the table is in buckets, so what later meets it doesn't move it.
 2. Each window of LENGTH bytes is named by the least hash among its GRAM-byte
    grams. Windows of one name in a row are a run; equal windows have equal
-   names. Chunks send the names they hold, packed, to buckets, which answer
-   with one bit for each: does another document have it?
+   names. Chunks send the names they hold and how many runs have each, packed,
+   to buckets, which answer with two bits for each: does another document have
+   it, and do more runs have it than one task should hold? Runs of such a hot
+   name are cut into single windows, each named by all its bytes, which spreads
+   them over the buckets by the same rule in every chunk.
 3. Runs of names that other documents have go to the buckets with their bytes.
    Runs of equal bytes within a chunk are settled there, whatever their number,
    so a bucket gets each at most once from each chunk.
@@ -35,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import LAST, chunks, pack_sorted, read_chunk, unpack_sorted
+from .chunks import LAST, chunks, pack_numbers, pack_sorted, read_chunk, unpack_numbers, unpack_sorted
 from .common import bucketed, by_bitmap, groups, lookup, map_batches, materialize, n_partitions, text_bytes
 
 LENGTH = 50
@@ -45,6 +48,8 @@ CHUNK = 4 << 20
 BUCKET = 8 << 20
 #: Bits of a name; more documents may seem to share one with fewer, which costs time only.
 NAME_BITS = 52
+#: A name of more runs is hot: about half of what a bucket of text has of all names.
+HOT_RUNS = 1 << 18
 #: Windows that are put in order at a time.
 SORT_WINDOWS = 200_000
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
@@ -126,6 +131,7 @@ def _send_names(length: int, bits: int):
                 names, key = names[order], keys[doc[order]]
                 first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
                 several = np.minimum.reduceat(key, first) != np.maximum.reduceat(key, first)
+                n = np.diff(np.append(first, len(names)))
                 names = names[first]
                 bucket = (names >> np.uint64(NAME_BITS - bits)).astype(np.int64)
                 cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
@@ -137,34 +143,59 @@ def _send_names(length: int, bits: int):
                         pa.array([chunk] * len(some), pa.int64()),
                         pa.array([pack_sorted(names[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()),
                         pa.array([np.packbits(several[cuts[b] : cuts[b + 1]]).tobytes() for b in some], pa.binary()),
+                        pa.array([pack_numbers(n[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()),
                     ],
-                    ["bucket", "chunk", "names", "several"],
+                    ["bucket", "chunk", "names", "several", "runs"],
                 )
 
     return send
 
 
-def _answer(batches):
-    """One bit for each name that a chunk has sent: do several documents have it?"""
-    for t in groups(batches, "bucket"):
-        names = [unpack_sorted(x) for x in t.column("names").to_pylist()]
-        sizes = [len(n) for n in names]
-        several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(t.column("several").to_pylist(), sizes, strict=True)])
-        names = np.concatenate(names)
-        order = np.argsort(names)
-        first = np.flatnonzero(np.concatenate(([True], names[order[1:]] != names[order[:-1]])))
-        count = np.diff(np.append(first, len(names)))
-        shared = np.empty(len(names), bool)
-        shared[order] = np.repeat((count > 1) | (np.maximum.reduceat(several[order], first) > 0), count)
-        ends = np.cumsum(sizes)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(t.column("chunk").to_pylist(), pa.int64()),
-                pa.array(t.column("bucket").to_pylist(), pa.int32()),
-                pa.array([np.packbits(shared[e - n : e]).tobytes() for n, e in zip(sizes, ends.tolist(), strict=True)], pa.binary()),
-            ],
-            ["chunk", "bucket", "bits"],
-        )
+def _answer(hot_runs: int):
+    """Two bits for each name that a chunk has sent: do several documents have it, and do more than hot_runs runs?"""
+
+    def answer(batches):
+        for t in groups(batches, "bucket"):
+            names = [unpack_sorted(x) for x in t.column("names").to_pylist()]
+            sizes = [len(n) for n in names]
+            several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(t.column("several").to_pylist(), sizes, strict=True)])
+            n_runs = np.concatenate([unpack_numbers(x) for x in t.column("runs").to_pylist()])
+            names = np.concatenate(names)
+            order = np.argsort(names)
+            first = np.flatnonzero(np.concatenate(([True], names[order[1:]] != names[order[:-1]])))
+            count = np.diff(np.append(first, len(names)))
+            shared, hot = np.empty(len(names), bool), np.empty(len(names), bool)
+            shared[order] = np.repeat((count > 1) | (np.maximum.reduceat(several[order], first) > 0), count)
+            hot[order] = np.repeat(np.add.reduceat(n_runs[order], first) > hot_runs, count)
+            ends = np.cumsum(sizes).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(t.column("chunk").to_pylist(), pa.int64()),
+                    pa.array(t.column("bucket").to_pylist(), pa.int32()),
+                    *(
+                        pa.array([np.packbits(x[e - n : e]).tobytes() if x[e - n : e].any() else None for n, e in zip(sizes, ends, strict=True)], pa.binary())
+                        for x in (shared, hot)
+                    ),
+                ],
+                ["chunk", "bucket", "shared", "hot"],
+            )
+
+    return answer
+
+
+def _single_windows(data: np.ndarray, hot: np.ndarray, names, begin, stop, doc, length: int):
+    """Runs, those that are hot as one for each of their windows, named by its bytes."""
+    if not hot.any():
+        return names, begin, stop, doc
+    n = (stop - begin)[hot]
+    at = np.repeat(begin[hot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    words, h = _words(data), np.zeros(len(at), np.uint64)
+    for o in (*range(0, length - 8, 8), length - 8):
+        h = (h ^ words[at + o]) * _A
+        h ^= h >> np.uint64(29)
+    h = h * _D >> np.uint64(64 - NAME_BITS)
+    pairs = ((names, h), (begin, at), (stop, at + 1), (doc, np.repeat(doc[hot], n)))
+    return tuple(np.concatenate((of[~hot], own)) for of, own in pairs)
 
 
 def _send_runs(length: int, bits: int):
@@ -182,12 +213,16 @@ def _send_runs(length: int, bits: int):
                 names, begin, stop, doc = runs(data, ends, length)
                 held = np.unique(names)
                 bucket = (held >> np.uint64(NAME_BITS - bits)).astype(np.int64)
-                shared = np.zeros(len(held), bool)
+                shared, hot = np.zeros(len(held), bool), np.zeros(len(held), bool)
                 for a in answer:
                     lo, hi = np.searchsorted(bucket, [a["bucket"], a["bucket"] + 1])
-                    shared[lo:hi] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=hi - lo)
-                keep = shared[np.searchsorted(held, names)]
-                names, begin, stop, key = names[keep], begin[keep], stop[keep] + length - 1, keys[doc[keep]]
+                    for bit, told in ((shared, a["shared"]), (hot, a["hot"])):
+                        if told is not None:
+                            bit[lo:hi] = np.unpackbits(np.frombuffer(told, np.uint8), count=hi - lo)
+                at = np.searchsorted(held, names)
+                keep = shared[at]
+                names, begin, stop, doc = _single_windows(data, hot[at[keep]], names[keep], begin[keep], stop[keep], doc[keep], length)
+                stop, key = stop + length - 1, keys[doc]
                 order = np.lexsort((begin, key))
                 raw = data.tobytes()
                 seen: dict[bytes, int] = {}
@@ -403,7 +438,9 @@ def _cut(batches):
             )
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK, bucket_bytes: int = BUCKET) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK, bucket_bytes: int = BUCKET, hot_runs: int = HOT_RUNS
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: a row for each row of docs.
 
     Each byte is removed that lies in a string of `length` bytes which also
@@ -411,6 +448,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CH
     counts as larger than any other, and documents of one id (or none) don't
     remove each other, so repeated rows fare alike; texts shorter than `length`
     stay whole. An empty table gives no rows. Other columns are not looked at.
+    hot_runs bounds what a task holds of one name and doesn't change the result.
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), text_bytes().alias("text"))
     firsts, copies = _copies(rows)
@@ -419,9 +457,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CH
     size = packed.agg(F.sum("size").alias("n")).first()["n"] or 0
     bits = max(0, (max(1, size // bucket_bytes) - 1).bit_length())
     chunk = packed.select("chunk", "keys", "ends", "data")
-    names = map_batches(chunk, _send_names(length, bits), "bucket int, chunk long, names binary, several binary")
-    answers = map_batches(names.repartitionById(n_tasks, "bucket").sortWithinPartitions("bucket"), _answer, "chunk long, bucket int, bits binary")
-    answers = answers.repartition(n_tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
+    names = map_batches(chunk, _send_names(length, bits), "bucket int, chunk long, names binary, several binary, runs binary")
+    answers = map_batches(names.repartitionById(n_tasks, "bucket").sortWithinPartitions("bucket"), _answer(hot_runs), "chunk long, bucket int, shared binary, hot binary")
+    answers = answers.repartition(n_tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "hot")).alias("answers"))
     told = chunk.hint("merge").join(answers, "chunk")
     kinds = "bucket int, chunk long, names binary, keys binary, sizes binary, data binary, refs binary, places binary, settled binary"
     sent = map_batches(told, _send_runs(length, bits), kinds)
