@@ -47,6 +47,25 @@ def test_encoder_with_a_full_memory(tokenizer, monkeypatch):
         assert encoded(encode, texts) == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
 
+def test_encoder_meets_words_once_whatever_stands_around_them(tokenizer):
+    """The work of a text follows its different words and signs, not how they are put together."""
+    words, signs = sorted(set(text(1, 500).split())), [".", ",", ";", ":", "!", "?", ".\n", "!!\n", ")", ""]
+    texts = [" ".join(w + s for w in words) for s in signs] + ["\n".join(words)]
+    encode = G.Encoder(PATH)
+    assert encoded(encode, texts) == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    held = sum(len(x) for x in vars(encode).values() if isinstance(x, dict))
+    assert held < 4 * len(words) + 50
+
+
+def test_encoder_at_odd_places(tokenizer):
+    """Random texts of characters that are split in their own ways."""
+    rng = np.random.default_rng(11)
+    plain = [" ", " ", "\n", "a", "b.", "the", "é", "12", ", "]
+    odd = [" ", "\n", "\t", "\x1c", "\x85", "\u3000", "'", "'ll", "ª", "\u0301", "²", "--", "—", "🙂", "<|endoftext|>", "<|", "\x00", "İ", "x"]
+    texts = ["".join(rng.choice(odd if rng.random() < 0.3 else plain) for _ in range(rng.integers(0, 20))) for _ in range(4000)]
+    assert encoded(G.Encoder(PATH), texts) == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_shards_round_trip(seed):
     rng = np.random.default_rng(seed)
@@ -105,6 +124,14 @@ def test_rounds_end_when_no_pair_is_frequent(kind):
         assert shard.n_symbols < 40_000 + 20 * 20
 
 
+@pytest.mark.parametrize("base", [20_000, 1 << 30])
+def test_one_round_counts_all_pairs(base):
+    pairs = np.arange(20_000, dtype=np.uint32) + base - 20_000
+    ids = np.tile(pairs, 2)
+    seq, rounds = G.pair_rules(ids, np.arange(len(ids)) % 2 == 1, base)
+    assert [len(r) for r in rounds] == [10_000] and len(seq) == 20_000
+
+
 def test_equals_the_library(documents, tokenizer):
     rows = [(i * 7 % 101, text(i, 5 + i * 3)) for i in range(101)] + [(1000 + i, t) for i, t in enumerate(ODD)] + [(2000, None), (None, "null id")]
     start, want = 0, []

@@ -41,86 +41,91 @@ MOST_RULES = 1 << 14
 STRIDE = 1024
 #: Text that is encoded at a time.
 TEXT_BYTES = 16 << 20
-#: A word, signs or digits, and the same behind a line end.
-PARTS = r"^(?P<a>\pL+)(?P<b>[^\pL\s']*)(?:\n(?P<c>\pL+)(?P<d>[^\pL\s']*))?$"
-#: Signs that often end a word; words with others behind them go by PARTS.
-SIGNS = ".,;:!?"
-#: Pieces of text whose ids a worker remembers.
+#: Stands behind each text: a byte that UTF-8 doesn't have.
+TEXT_END = b"\xff"
+#: Kinds of bytes. Those beyond ASCII count as letters at first; LOOSE ones are read with their neighbours only.
+SPACE, LINE, LETTER, DIGIT, SIGN, LOOSE, END = range(7)
+KINDS = bytes(
+    END if c == 255 else LETTER if c > 127 or chr(c).isalpha() else DIGIT if 48 <= c <= 57
+    else SPACE if c == 32 else LINE if c == 10 else LOOSE if c < 32 or c in (39, 127) else SIGN
+    for c in range(256)
+)
+#: Whether a unit begins at a byte, by 8 times the kind of the byte before it and its own; 2: if no white space and no end follows.
+BEGINS = bytes(
+    1 if END in (a, b) else 2 if a <= LINE and b <= LINE else 0 if a == SPACE else a != b
+    for a, b in (divmod(k % 64, 8) for k in range(256))
+)
+#: Units, and chunks, whose ids a worker remembers.
 MOST_PIECES = 1_000_000
 MAGIC, VERSION = b"VLRP", 1
 _HEADER = struct.Struct("<4sHHIIIIIIIII")
-_MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
 def pair_rules(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """What is left of the ids, and (n, 2) pairs for each round; the i-th rule of all is symbol base + i.
 
     last marks the ids after which no pair may reach. Rounds end when no pair
-    occurs LEAST_COUNT times without overlap. Of pairs that share a slot of a
-    hash table one is counted, exactly; the others wait for a later round, which
-    deals slots anew. Of neighbouring pairs that overlap the more frequent one is
-    replaced. A pair that isn't frequent never becomes so, nor does one of symbols
-    that end and begin with its two, so its place is closed, and symbols between
-    closed places are not looked at again.
+    occurs LEAST_COUNT times without overlap. Of neighbouring pairs that overlap
+    the more frequent one is replaced. A pair that isn't frequent never becomes
+    so, nor does one of symbols that end and begin with its two, so its place is
+    closed, and symbols between closed places are not looked at again.
     """
-    full, rounds, n_rules, turn = ids.astype(np.uint32), [], 0, 0
+    full, rounds, n_rules = ids.astype(np.uint32), [], 0
     gone = np.zeros(len(full), bool)
     seq, at, last = full.copy(), np.arange(len(full)), last.copy()
     last[-1:] = True
     while True:
-        lone = last.copy()
-        lone[1:] &= last[:-1]
-        if lone.any():
-            seq, at, last = seq[~lone], at[~lone], last[~lone]
+        stays = ~last
+        stays[1:] |= stays[:-1]
+        seq, at, last = _only(stays, seq, at, last)
         if not len(seq):
             break
         open_ = np.flatnonzero(~last)
         left, right = seq[open_], seq[open_ + 1]
+        wide, place_bits = (base + n_rules).bit_length(), len(seq).bit_length()
+        key = left.astype(np.uint64) << np.uint64(wide) | right
         # in a run of one symbol every other pair counts
         same = np.flatnonzero(left == right)
         skip = np.zeros(0, np.int64)
         if len(same):
             begins = np.flatnonzero(np.diff(open_[same], prepend=-2) != 1)
             place = np.arange(len(same)) - np.repeat(begins, np.diff(begins, append=len(same)))
-            skip = same[place & 1 == 1]
-        bits = len(open_).bit_length() + 1
-        key = (left.astype(np.uint64) << np.uint64(32)) | right
-        slot = ((key ^ np.uint64(turn)) * _MUL >> np.uint64(64 - bits)).view(np.int64)
-        turn += 0x5851F42D
-        nowhere = 1 << bits
-        pair = np.zeros(nowhere + 1, np.uint64)
-        pair[slot] = key
-        lost = pair[slot] != key
-        lost[skip] = True
-        slot[lost] = nowhere
-        count = np.bincount(slot, minlength=nowhere + 1)
-        count[nowhere] = LEAST_COUNT
-        rare = count[slot] < LEAST_COUNT
-        count[nowhere] = 0
+            skipped = same[place & 1 == 1]
+            skip, open_, key = open_[skipped], np.delete(open_, skipped), np.delete(key, skipped)
+        if 2 * wide + place_bits <= 64:  # the place fits behind the pair, and numbers alone are sorted faster
+            key = np.sort(key << np.uint64(place_bits) | open_.view(np.uint64))
+            open_ = (key & np.uint64((1 << place_bits) - 1)).view(np.int64)
+            key >>= np.uint64(place_bits)
+        else:
+            order = np.argsort(key)
+            open_, key = open_[order], key[order]
+        begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(begins, append=len(key))
         by = np.flatnonzero(count >= LEAST_COUNT)
         by = by[np.argsort(-count[by], kind="stable")][:MOST_RULES]
         none = np.int32(len(by))
-        rank = np.full(nowhere + 1, none, np.int32)
+        rank = np.full(len(count), none, np.int32)
         rank[by] = np.arange(len(by), dtype=np.int32)
-        # a skipped place has the pair of the place before it, so it closes with that one
-        rare[skip] = rare[skip - 1]
         mid = np.full(len(seq) + 1, none, np.int32)
-        mid[open_ + 1] = rank[slot]
+        mid[open_ + 1] = np.repeat(rank, count)
         own = mid[1:]
         take = own < mid[:-1]
         take[:-1] &= own[:-1] < own[1:]
         chosen = np.flatnonzero(take)
         index = own[chosen]
-        times = np.bincount(index, minlength=len(by))
         # what overlaps left to fewer waits
-        worth = times >= LEAST_COUNT
-        chosen = chosen[worth[index]]
-        last[open_[rare]] = True
+        worth = np.bincount(index, minlength=len(by)) >= LEAST_COUNT
+        left_over = ~worth[index]
+        if left_over.any():
+            chosen = chosen[~left_over]
+        last[open_[np.repeat(count < LEAST_COUNT, count)]] = True
+        # a skipped place has the pair of the place before it, so it closes with that one
+        last[skip] = last[skip - 1]
         if not len(chosen):
             continue
         number = np.cumsum(worth) - 1
-        used = pair[by[worth]]
-        rounds.append((used[:, None] >> np.array([32, 0], np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        used = key[begins[by[worth]]]
+        rounds.append((used[:, None] >> np.array([wide, 0], np.uint64) & np.uint64((1 << wide) - 1)).astype(np.uint32))
         seq[chosen] = (base + n_rules + number[own[chosen]]).astype(np.uint32)
         n_rules += len(used)
         full[at[chosen]] = seq[chosen]
@@ -128,10 +133,16 @@ def pair_rules(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray
         last[chosen] = last[chosen + 1]
         keep = np.ones(len(seq), bool)
         keep[chosen + 1] = False
-        seq, at, last = seq[keep], at[keep], last[keep]
+        seq, at, last = _only(keep, seq, at, last)
     return full[~gone], rounds
 
 
+def _only(wanted: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+    """The rows that are wanted."""
+    places = np.flatnonzero(wanted)
+    return list(columns) if len(places) == len(wanted) else [c.take(places) for c in columns]
+
+
 def write_shard(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, base: int) -> bytes:
     """One shard; ids are below base, lengths are the documents' numbers of ids."""
     ends = np.cumsum(lengths)
@@ -251,14 +262,15 @@ def splits_at_spaces(spec: dict) -> bool:
 class Encoder:
     """Ids of texts by a file of the tokenizers library.
 
-    Byte-level splitting never joins what stands before a single space
-    and what follows it if neither side is white space, so the ids of a text are
-    those of its pieces, and pieces recur: each different one of a batch is
-    looked up once, and encoded only if it is new. Nor does it join letters with
-    what follows them, other than behind an apostrophe, or a line end with the
-    word behind it, so new pieces are put together of their parts. A text with
-    any other white space beside a space is encoded as a whole, and so is every
-    text if the file names another way of splitting (see `splits_at_spaces`).
+    Byte-level splitting cuts a text where the kind of its characters changes,
+    with a single space before what follows it, and of more white space the last
+    one apart. So the ids of a text are those of such units, and units recur:
+    each different one of a batch is looked up once, and encoded only if it is
+    new. Where a unit is read with its neighbours (behind an apostrophe, with
+    signs or digits beyond ASCII), its chunk is encoded as one, from a
+    space up to the next. A text is encoded as a whole if such a chunk begins or
+    ends with white space or the text has an added token, and so is every text if
+    the file names another way of splitting (see `splits_at_spaces`).
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -278,12 +290,9 @@ class Encoder:
         self.n_bytes = np.zeros(self.base, np.int64)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.n_bytes[i] = len(token)
-        (self.line,) = self._encode(["\n"])
-        #: Ids of words that begin a line, and of signs and digits behind letters.
-        self.words: dict[str, bytes] = {}
-        self.signs: dict[str, bytes] = {}
-        #: Ids of pieces that follow a space; empty for those that need their neighbours.
-        self.pieces: dict[str, bytes] = {}
+        #: Ids of units, and of chunks with a space before them or none; empty for those that need their neighbours.
+        self.units: dict[bytes, bytes] = {TEXT_END: self.end}
+        self.chunks: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -309,113 +318,116 @@ class Encoder:
             out += [ids[a + skip : b] for a, b in zip([0, *cuts], cuts, strict=False)]
         return out
 
-    def _signs(self, column) -> list[bytes]:
-        """Ids of signs and digits behind letters, row by row; there are few different ones."""
-        coded = column.dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        todo = [x for x in different if x and x not in self.signs]
-        new = dict(zip(todo, self._encode(todo), strict=True))
-        if len(self.signs) < MOST_PIECES:
-            self.signs.update(new)
-        ids = [(new.get(x) or self.signs[x]) if x else b"" for x in different]
-        return [ids[k] if k >= 0 else b"" for k in pc.fill_null(coded.indices, -1).to_pylist()]
-
-    def _sign_ids(self, sign: str) -> bytes:
-        """Ids of signs behind letters."""
-        ids = self.signs.get(sign)
-        if ids is None:
-            (ids,) = self._encode([sign])
-            if len(self.signs) < MOST_PIECES:
-                self.signs[sign] = ids
-        return ids
-
-    def _words(self, column) -> dict[str, bytes]:
-        """Ids of words that begin a line."""
-        words = [w for w in pc.unique(column).to_pylist() if w]
-        new = [w for w in words if w not in self.words]
-        ids = dict(zip(new, self._encode_behind("\n", new), strict=True))
-        found = {w: ids.get(w) or self.words[w] for w in words}
-        if len(self.words) < MOST_PIECES:
-            self.words.update(ids)
-        return found
+    def _encode_units(self, units: list[bytes]) -> list[bytes]:
+        """Ids of different units; empty for those that need their neighbours."""
+        own = pa.array(units, pa.large_binary()).cast(pa.large_string())
+        body = pc.utf8_ltrim(own, " ")
+        word = pc.utf8_is_alpha(body).to_numpy(zero_copy_only=False)
+        behind = pc.not_equal(own, body).to_numpy(zero_copy_only=False)
+        plain = np.array([u.isascii() and KINDS[u[-1]] != LOOSE for u in units], bool)
+        out = np.full(len(units), b"", object)
+        for some, encode in (
+            (word & behind, functools.partial(self._encode_behind, " ")),
+            (word & ~behind, functools.partial(self._encode_behind, "\n")),
+            (~word & plain, self._encode),
+        ):
+            if some.any():
+                texts = own if encode == self._encode else body
+                out[some] = encode(texts.filter(pa.array(some)).to_pylist())
+        return out.tolist()
+
+    def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of different chunks; empty for those with white space at an end."""
+        texts = [c.decode() for c in chunks]
+        apart = [t.removeprefix(" ") for t in texts]
+        plain = [i for i, t in enumerate(apart) if t and t == t.strip()]
+        out = [b""] * len(texts)
+        for i, ids in zip(plain, self._encode([texts[i] for i in plain]), strict=True):
+            out[i] = ids
+        return out
 
-    def _look_up(self, pieces: list[str]) -> list[bytes]:
-        """Ids of different pieces that follow a space; empty for those that need their neighbours."""
-        found = list(map(self.pieces.get, pieces))
+    def _look_up(self, known: dict[bytes, bytes], encode, keys: list[bytes]) -> list[bytes]:
+        """Ids of different keys, of which known has those met before."""
+        found = list(map(known.get, keys))
         new = [i for i, ids in enumerate(found) if ids is None]
-        if not new:
-            return found
-        own = pa.array([pieces[i] for i in new], pa.string())
-        trimmed = pc.utf8_rtrim(own, SIGNS)
-        simple = pc.utf8_is_alpha(trimmed).to_pylist()
-        mixed = own.filter(pc.invert(pa.array(simple)))
-        parts = pc.extract_regex(mixed, PARTS)
-        word, sign, next_word, next_sign = (pc.struct_field(parts, k) for k in "abcd")
-        plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(mixed), mixed), pc.not_equal(mixed, ""))
-        stem = pc.if_else(plain, pc.coalesce(word, mixed), None).to_pylist()
-        trimmed = trimmed.to_pylist()
-        wanted = dict.fromkeys(t for t, one in zip(trimmed, simple, strict=True) if one) | dict.fromkeys(stem)
-        wanted.pop(None, None)
-        todo = [w for w in wanted if w not in self.pieces]
-        stems = dict(zip(todo, self._encode_behind(" ", todo), strict=True))
-        words = self._words(next_word)
-        made = []
-        for w, b, c, d in zip(stem, self._signs(sign), next_word.to_pylist(), self._signs(next_sign), strict=True):
-            ids = b"" if w is None else (stems.get(w) or self.pieces[w]) + b
-            made.append(ids + self.line + words[c] + d if c and ids else ids)
-        others, signs = iter(made), self._sign_ids
-        for i, t, one in zip(new, trimmed, simple, strict=True):
-            if one:
-                piece = pieces[i]
-                ids = stems.get(t) or self.pieces[t]
-                found[i] = ids if len(t) == len(piece) else ids + signs(piece[len(t) :])
-            else:
-                found[i] = next(others)
-        if len(self.pieces) < MOST_PIECES:
-            self.pieces.update(stems)
-            self.pieces.update((pieces[i], found[i]) for i in new)
+        if new:
+            todo = [keys[i] for i in new]
+            made = encode(todo)
+            for i, ids in zip(new, made, strict=True):
+                found[i] = ids
+            if len(known) < MOST_PIECES:
+                known.update(zip(todo, made, strict=True))
         return found
 
+    def _special(self, data: bytes):
+        """Where added tokens stand."""
+        for x in map(str.encode, self.special):
+            at = data.find(x)
+            while at >= 0:
+                yield at
+                at = data.find(x, at + 1)
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (none is null) in a row, each text's with the end id, and each text's number of them."""
-        if not self.by_pieces:
+        if not self.by_pieces or not len(texts):
             whole = [ids + self.end for ids in self._encode(texts.to_pylist())]
             return np.frombuffer(b"".join(whole), self.kind), np.array(list(map(len, whole)), np.int64) // self.width
-        split = pc.split_pattern(texts, " ")
-        counts = pc.list_value_length(split).to_numpy().astype(np.int64)
-        ends = np.cumsum(counts)
-        first = ends - counts
-        pieces = split.flatten()
-        coded = pieces.dictionary_encode()
-        entry = coded.indices.to_numpy().astype(np.int64)
-        ids = self._look_up(coded.dictionary.to_pylist())
-        n_pieces = len(ids)
-        sizes = np.fromiter(map(len, ids), np.int64, n_pieces)
-        odd = sizes[entry] == 0
-        odd[first] = False
-        heads = pieces.take(pa.array(first)).to_pylist()
-        whole = np.concatenate(([0], np.cumsum(odd)))
-        whole = whole[ends] > whole[first]
-        for i in np.flatnonzero(counts > 1).tolist():
-            if not heads[i] or heads[i][-1].isspace():
-                whole[i] = True
-        for i in np.flatnonzero(whole).tolist():
-            entry[first[i] : ends[i]] = n_pieces  # an empty one
-            heads[i] = texts[i].as_py()
-        different = list(dict.fromkeys(heads))
-        number = dict(zip(different, range(n_pieces + 1, n_pieces + 1 + len(different)), strict=True))
-        entry[first] = [number[h] for h in heads]
-        ids += [b"", *self._encode(different), self.end]
-        places = np.empty(len(entry) + len(counts), np.int64)
-        at_end = ends + np.arange(len(counts))
-        places[at_end] = len(ids) - 1
-        inside = np.ones(len(places), bool)
-        inside[at_end] = False
-        places[inside] = entry
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
-        joined = pa.array(ids, pa.large_binary()).take(pa.array(places))
-        out = np.frombuffer(joined.buffers()[2] or b"", self.kind, int(sizes[places].sum()))
-        return out, np.diff(np.cumsum(sizes[places])[at_end], prepend=0)
+        data = TEXT_END.join([*texts.cast(pa.large_binary()).to_pylist(), b""])
+        kinds = np.frombuffer(data.translate(KINDS), np.uint8)
+        begins = np.empty(len(kinds), np.uint8)
+        begins[0] = 1
+        begins[1:] = np.frombuffer(((kinds[:-1] << 3) | kinds[1:]).tobytes().translate(BEGINS), np.uint8)
+        doubtful = np.flatnonzero(begins == 2)
+        after = kinds[doubtful + 1]
+        begins[doubtful] = (after > LINE) & (after != END)
+        starts = np.flatnonzero(begins)
+        del begins
+        first = kinds[starts]
+        ends = np.flatnonzero(first == END)
+        if len(ends) != len(texts):
+            raise ValueError("a text isn't UTF-8")
+        coded = _cut(data, starts).dictionary_encode()
+        entry = coded.indices.to_numpy()
+        ids = self._look_up(self.units, self._encode_units, coded.dictionary.to_pylist())
+        nothing = len(ids)
+        ids.append(b"")
+        odd = np.flatnonzero((np.fromiter(map(len, ids), np.int64, len(ids)) == 0)[entry])
+        whole = {int(np.searchsorted(starts[ends], at)) for at in self._special(data)}
+        if len(odd) or whole:
+            entry = entry.copy()
+        if len(odd):
+            second = kinds[np.minimum(starts + 1, len(kinds) - 1)]
+            cut = (first == SPACE) & (second > LINE) & (second != END)
+            cut[0] = True
+            cut[ends] = True
+            cut[ends[:-1] + 1] = True
+            cuts = np.flatnonzero(cut)
+            del second, cut
+            chunk = np.unique(np.searchsorted(cuts, odd, side="right") - 1)
+            own = _cut(data, starts[cuts]).take(pa.array(chunk)).dictionary_encode()
+            found = self._look_up(self.chunks, self._encode_chunks, own.dictionary.to_pylist())
+            number = own.indices.to_numpy()
+            apart = np.array([not x for x in found], bool)[number]
+            whole.update(np.searchsorted(ends, cuts[chunk[apart]]).tolist())
+            n = cuts[chunk + 1] - cuts[chunk]
+            inside = np.arange(n.sum()) + np.repeat(cuts[chunk] - np.cumsum(n) + n, n)
+            entry[inside] = nothing
+            entry[cuts[chunk]] = len(ids) + number
+            ids += found
+        for i, own in zip(sorted(whole), self._encode([texts[i].as_py() for i in sorted(whole)]), strict=True):
+            a = ends[i - 1] + 1 if i else 0
+            entry[a : ends[i]] = nothing
+            entry[a] = len(ids)
+            ids.append(own)
+        joined = pa.array(ids, pa.large_binary()).take(pa.array(entry))
+        done = np.frombuffer(joined.buffers()[1], np.int64, len(entry) + 1) // self.width
+        return np.frombuffer(joined.buffers()[2], self.kind, int(done[-1])), np.diff(done[ends + 1], prepend=0)
+
+
+def _cut(data: bytes, starts: np.ndarray) -> pa.Array:
+    """Bytes cut at starts, of which the first is 0."""
+    offsets = np.append(starts, len(data))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 @functools.cache
