@@ -104,11 +104,13 @@ def pair_rules(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray
         by = np.flatnonzero(count >= LEAST_COUNT)
         by = by[np.argsort(-count[by], kind="stable")][:MOST_RULES]
         none = np.int32(len(by))
-        rank = np.full(len(count), none, np.int32)
+        rank = none + (count < LEAST_COUNT).astype(np.int32)
         rank[by] = np.arange(len(by), dtype=np.int32)
         mid = np.full(len(seq) + 1, none, np.int32)
-        mid[open_ + 1] = np.repeat(rank, count)
         own = mid[1:]
+        own[open_] = np.repeat(rank, count)
+        rare = own > none
+        own[rare] = none
         take = own < mid[:-1]
         take[:-1] &= own[:-1] < own[1:]
         chosen = np.flatnonzero(take)
@@ -118,7 +120,7 @@ def pair_rules(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray
         left_over = ~worth[index]
         if left_over.any():
             chosen = chosen[~left_over]
-        last[open_[np.repeat(count < LEAST_COUNT, count)]] = True
+        last |= rare
         # a skipped place has the pair of the place before it, so it closes with that one
         last[skip] = last[skip - 1]
         if not len(chosen):
@@ -333,7 +335,7 @@ class Encoder:
         ):
             if some.any():
                 texts = own if encode == self._encode else body
-                out[some] = encode(texts.filter(pa.array(some)).to_pylist())
+                out[some] = encode(_values(texts.filter(pa.array(some))))
         return out.tolist()
 
     def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
@@ -388,7 +390,7 @@ class Encoder:
             raise ValueError("a text isn't UTF-8")
         coded = _cut(data, starts).dictionary_encode()
         entry = coded.indices.to_numpy()
-        ids = self._look_up(self.units, self._encode_units, coded.dictionary.to_pylist())
+        ids = self._look_up(self.units, self._encode_units, _values(coded.dictionary))
         nothing = len(ids)
         ids.append(b"")
         odd = np.flatnonzero((np.fromiter(map(len, ids), np.int64, len(ids)) == 0)[entry])
@@ -405,7 +407,7 @@ class Encoder:
             del second, cut
             chunk = np.unique(np.searchsorted(cuts, odd, side="right") - 1)
             own = _cut(data, starts[cuts]).take(pa.array(chunk)).dictionary_encode()
-            found = self._look_up(self.chunks, self._encode_chunks, own.dictionary.to_pylist())
+            found = self._look_up(self.chunks, self._encode_chunks, _values(own.dictionary))
             number = own.indices.to_numpy()
             apart = np.array([not x for x in found], bool)[number]
             whole.update(np.searchsorted(ends, cuts[chunk[apart]]).tolist())
@@ -424,6 +426,11 @@ class Encoder:
         return np.frombuffer(joined.buffers()[2], self.kind, int(done[-1])), np.diff(done[ends + 1], prepend=0)
 
 
+def _values(column: pa.Array) -> list:
+    """column.to_pylist() in one step, for texts and bytes."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _cut(data: bytes, starts: np.ndarray) -> pa.Array:
     """Bytes cut at starts, of which the first is 0."""
     offsets = np.append(starts, len(data))
